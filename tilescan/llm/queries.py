@@ -67,7 +67,7 @@ OP1_SQL = """
 with recursive v as (
   select vec_id, embedding::double[] as e, sqrt(list_dot_product(embedding::double[], embedding::double[])) as n from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links as (
   select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95
 ), reach(a, b) as (
