@@ -114,29 +114,30 @@ def cuts(narrow: DataFrame, levels: list[str], weights: dict[str, dict[str, floa
     )
 
 
-def mixed(docs: DataFrame, fraction: float = 1.0, max_epochs: int = 2, seed: int = 17, weights: dict[str, dict[str, float]] | None = None, max_leaves: int = 50_000) -> DataFrame:
-    """``docs`` with ``domain``, ``n_words`` (tokens, here words), ``n_copies`` (how often a row is taken) and the leaf's ``budget``.
+def mixed(docs: DataFrame, fraction: float = 1.0, max_epochs: int = 2, seed: int = 17, weights: dict[str, dict[str, float]] | None = None, max_leaves: int = 50_000, prefix: str = "") -> DataFrame:
+    """``docs`` with ``domain``, ``n_words`` (tokens, here words), ``n_copies`` (how often a row is taken) and the leaf's
+    ``budget``, their names after ``prefix``; columns of ``docs`` with these names are replaced.
 
     The leaves' cuts are broadcast if there are at most ``max_leaves`` (counted first), and joined by shuffle otherwise.
-    Clashing columns of ``docs`` are replaced.
     """
     weights = {"lang": LANGUAGE_WEIGHTS} if weights is None else weights
-    levels = ["domain", "lang", "source"]
-    named = docs.withColumn("domain", domain_of(F.col("source"))).withColumn("n_words", word_count(F.col("text").cast("string")))
-    narrow = cut(named.select(F.col("doc_id").cast("long").alias("doc_id"), *levels, F.col("n_words").alias("tokens")))
+    weights = {f"{prefix}domain" if k == "domain" else k: v for k, v in weights.items()}
+    domain, words = f"{prefix}domain", f"{prefix}n_words"
+    levels = [domain, "lang", "source"]
+    named = docs.withColumn(domain, domain_of(F.col("source"))).withColumn(words, word_count(F.col("text").cast("string")))
+    narrow = cut(named.select(F.col("doc_id").cast("long").alias("doc_id"), *levels, F.col(words).alias("tokens")))
     found = cut(cuts(narrow, levels, weights, fraction, max_epochs, seed))
-    side = found.select(*(F.col(c).alias(f"cut_{c}") for c in levels), F.col("epochs").alias("cut_epochs"), "last_place", F.col("budget").alias("cut_budget"))
+    side = found.select(*(F.col(c).alias(f"__cut_{c}") for c in levels), F.col("epochs").alias("__cut_epochs"), F.col("last_place").alias("__cut_last"), F.col("budget").alias("__cut_budget"))
     if found.count() <= max_leaves:
         side = F.broadcast(side)
-    joined = named.join(side, [named[c].eqNullSafe(side[f"cut_{c}"]) for c in levels])
-    copies = F.col("cut_epochs") + (_place(seed, F.col("cut_epochs")) <= F.col("last_place")).cast("long")
-    return joined.withColumn("n_copies", copies).withColumn("budget", F.col("cut_budget")).drop(*(f"cut_{c}" for c in levels), "cut_epochs", "cut_budget", "last_place")
+    joined = named.join(side, [F.col(c).eqNullSafe(F.col(f"__cut_{c}")) for c in levels])
+    copies = F.col("__cut_epochs") + (_place(seed, F.col("__cut_epochs")) <= F.col("__cut_last")).cast("long")
+    return joined.withColumn(f"{prefix}n_copies", copies).withColumn(f"{prefix}budget", F.col("__cut_budget")).drop(*(f"__cut_{c}" for c in [*levels, "epochs", "last", "budget"]))
 
 
 def selected(docs: DataFrame, fraction: float = 0.6, max_epochs: int = 1, seed: int = 17, weights: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """The rows of ``docs`` in the mixture, as often as they are taken, with the columns of ``docs``."""
-    out = mixed(docs, fraction, max_epochs, seed, weights)
-    rows = out.where("n_copies > 0")
+    rows = mixed(docs, fraction, max_epochs, seed, weights, prefix="__").where("__n_copies > 0")
     if max_epochs > 1:
-        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
+        rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n_copies"))))
     return rows.select(*docs.columns)

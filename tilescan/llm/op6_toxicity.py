@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilescan.llm.common import cut, ship, texts
 
@@ -236,8 +237,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, model: Mo
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([*batch.columns, score(batch.column("text"))], names=[*batch.schema.names, "__score"])
 
-        schema = docs.schema.add("__score", "double") if "__score" not in docs.columns else docs.drop("__score").schema.add("__score", "double")
-        return docs.select(*(c for c in docs.columns if c != "__score")).mapInArrow(walk_all, schema).withColumn("__predicted", (F.col("__score") >= threshold).cast("int"))
+        schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+        return docs.mapInArrow(walk_all, schema).withColumn("__predicted", (F.col("__score") >= threshold).cast("int"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
