@@ -18,7 +18,7 @@ def scene(spark, h, w, seed=0):
 
 def test_windows_and_nodata_counts(spark):
     df, a = scene(spark, 30, 22)
-    scenes = spark.createDataFrame([(1, 30, 22), (2, 5, 5)], "scene_id int, height int, width int")
+    scenes = spark.createDataFrame([(1, 30, 22), (2, 3, 3)], "scene_id int, height int, width int")
     for win, stride in ((6, 4), (5, 5), (4, 6)):
         got = {(r["row_off"], r["col_off"]): r["n_nodata"] for r in windows.nodata_counts(df, scenes, win, stride).collect()}
         want = {(r, c): int(np.isnan(a[r : r + win, c : c + win]).sum()) for r in range(0, 30 - win + 1, stride) for c in range(0, 22 - win + 1, stride)}
