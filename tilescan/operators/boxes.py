@@ -30,8 +30,12 @@ def suppressed(detections: DataFrame, threshold: float) -> DataFrame:
     Gathers one scene's boxes to a task (thousands at most, as windows of a scene are), in JVM expressions only.
     """
     scenes = _ordered(detections)
+    if threshold < 0:
+        raise ValueError("the threshold must not be negative")
     none = F.slice(F.col("boxes"), 1, 0)
-    kept = F.aggregate("boxes", none, lambda done, x: F.when(F.exists(done, lambda k: iou(k, x) > threshold), done).otherwise(F.concat(done, F.array(x))))
+    # shrunk boxes lie within the plain ones, so boxes that are apart need no more than these comparisons
+    meet = lambda k, x: (k["x0"] < x["x1"]) & (x["x0"] < k["x1"]) & (k["y0"] < x["y1"]) & (x["y0"] < k["y1"])
+    kept = F.aggregate("boxes", none, lambda done, x: F.when(F.exists(done, lambda k: meet(k, x) & (iou(k, x) > threshold)), done).otherwise(F.concat(done, F.array(x))))
     return scenes.select("filename", F.posexplode(kept).alias("rank", "b")).select("filename", F.col("rank").cast("long").alias("rank"), "b.confidence", "b.ordinal", *(f"b.{c}" for c in BOX))
 
 
