@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,35 +42,37 @@ LEAST = -(1 << 63)
 
 
 class WordEncoder:
-    """A tokenizer of the library, with the ids of pieces that it has met."""
+    """A tokenizer of the library, with the ids of pieces that it has met, as the bytes that files hold."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, kind: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(data)
-        self.memory = Memory(600_000)
+        self.memory = Memory(250_000)
+        self.code = "H" if kind == "<u2" else "I"
 
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         self.memory.turn()
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
         new = sorted(self.memory.unknown(set(chain.from_iterable(split))))
         for k in range(0, len(new), 10_000):
             part = new[k : k + 10_000]
-            self.memory.now.update(zip(part, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
+            found = (e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))
+            self.memory.now.update(zip(part, (struct.pack(f"<{len(ids)}{self.code}", *ids) for ids in found)))
         known = self.memory.now.__getitem__
         for pieces in split:
-            yield list(chain.from_iterable(map(known, pieces)))
+            yield b"".join(map(known, pieces))
 
 
 _encoders: dict[bytes, WordEncoder] = {}
 
 
-def word_encoder(data: bytes) -> WordEncoder:
-    key = hashlib.sha1(data).digest()
+def word_encoder(data: bytes, kind: str) -> WordEncoder:
+    key = hashlib.sha1(data + kind.encode()).digest()
     if key not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _encoders.clear()
-        _encoders[key] = WordEncoder(data)
+        _encoders[key] = WordEncoder(data, kind)
     return _encoders[key]
 
 
@@ -104,12 +107,15 @@ def _get(folder: str, name: str, kind: str) -> np.ndarray:
 
 def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | None = 1, bytes_per_file: int = 48 << 20) -> dict:
     """Writes the files to ``folder`` (shared by all executors); returns the manifest."""
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
     ship(spark)
     with open(path or default_path(), "rb") as f:
         raw = f.read()
     data = spark.sparkContext.broadcast(raw)
-    kind = "<u2" if max(word_encoder(raw).tokenizer.get_vocab_size(), end_id or 0) <= 1 << 16 else "<u4"
+    kind = "<u2" if max(Tokenizer.from_buffer(raw).get_vocab_size(), (end_id or 0) + 1) <= 1 << 16 else "<u4"
+    size, end = np.dtype(kind).itemsize, b"" if end_id is None else int(end_id).to_bytes(np.dtype(kind).itemsize, "little")
     fs, top = _store(folder)
     fs.create_dir(top, recursive=True)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -119,17 +125,17 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | N
     bounds = np.array(sorted(set(cuts or [])), np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, squeeze = word_encoder(data.value), zstandard.ZstdCompressor(level=1)
+        encoder, squeeze = word_encoder(data.value, kind), zstandard.ZstdCompressor(level=1)
         for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                batch = whole.slice(k, 2000)
-                ids = [np.array([*x, end_id] if end_id is not None else x, kind) for x in encoder.encode_all(texts(batch))]
+            for k in range(0, whole.num_rows, 1000):
+                batch = whole.slice(k, 1000)
+                ids = [x + end for x in encoder.encode_all(texts(batch))]
                 doc_ids = batch.column("doc_id").to_numpy()
                 part = np.searchsorted(bounds, doc_ids, "right")
                 for p in np.unique(part).tolist():
                     at = np.flatnonzero(part == p)
-                    lengths = np.array([len(ids[r]) for r in at], np.int64)
-                    blob = squeeze.compress(b"".join(ids[r].tobytes() for r in at))
+                    lengths = np.array([len(ids[r]) // size for r in at], np.int64)
+                    blob = squeeze.compress(b"".join(ids[r] for r in at))
                     yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([doc_ids[at].tobytes()], pa.binary()), pa.array([lengths.tobytes()], pa.binary()), pa.array([blob], pa.binary())], names=["p", "ids", "lengths", "blob"])
 
     def store(p: int, held: list[tuple[bytes, bytes, bytes]]) -> tuple[int, int, int]:
@@ -137,11 +143,11 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | N
         items = []
         for doc_ids, lengths, blob in held:
             sizes = np.frombuffer(lengths, np.int64)
-            raw = expand.decompress(blob, max_output_size=int(sizes.sum()) * np.dtype(kind).itemsize + 1) if sizes.sum() else b""
-            ends = np.cumsum(sizes) * np.dtype(kind).itemsize
-            items += [(d, raw[e - s * np.dtype(kind).itemsize : e]) for d, s, e in zip(np.frombuffer(doc_ids, np.int64).tolist(), sizes.tolist(), ends.tolist())]
+            raw = expand.decompress(blob, max_output_size=int(sizes.sum()) * size + 1) if sizes.sum() else b""
+            ends = np.cumsum(sizes) * size
+            items += [(d, raw[e - s * size : e]) for d, s, e in zip(np.frombuffer(doc_ids, np.int64).tolist(), sizes.tolist(), ends.tolist())]
         items.sort()
-        sizes = np.array([len(x) // np.dtype(kind).itemsize for _, x in items], np.int64)
+        sizes = np.array([len(x) // size for _, x in items], np.int64)
         _put(folder, f"tokens-{p:06d}.bin", b"".join(x for _, x in items))
         _put(folder, f"docs-{p:06d}.bin", np.array([d for d, _ in items], "<i8").tobytes())
         _put(folder, f"sizes-{p:06d}.bin", sizes.astype("<u8").tobytes())
