@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tilescan.functions import geometry as G
 from tilescan.functions import pixels as P
-from tilescan.operators import boxes, jobs, pixels, scoring, windows
+from tilescan.operators import boxes, jobs, pixels, polygons, scoring, windows
 from tilescan.sources.fixtures import sql_view, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -417,3 +417,20 @@ def land_bbox_mask(spark: SparkSession, d: str) -> DataFrame:
 def preview_windows(spark: SparkSession, d: str) -> DataFrame:
     boxes_in = view(spark, d, "detections").withColumn("width", F.lit(SCENE["width"])).withColumn("height", F.lit(SCENE["height"]))
     return windows.preview_windows(boxes_in, TRANSFORM).select("ordinal", "filename", "col_off", "row_off", "win_w", "win_h")
+
+
+@query(
+    f"""with {MASKED}, land as (select n_nationkey % 7 + 1 as scene_id, n_nationkey, n_nationkey % 5 * 9.5 as x, n_nationkey % 6 * 7.0 as y from nation),
+    sides as (select scene_id, n_nationkey, x as x0, y as y0, x + 14.25 as x1, y + 5.25 as y1 from land
+      union all select scene_id, n_nationkey, x + 14.25, y + 5.25, x + 3.5, y + 16.75 from land union all select scene_id, n_nationkey, x + 3.5, y + 16.75, x, y from land),
+    hits as (select m.scene_id, r, c, n_nationkey from m join sides s on s.scene_id = m.scene_id and (y0 <= r + 0.5) <> (y1 <= r + 0.5)
+      and c + 0.5 >= x0::double + (r + 0.5::double - y0) * (x1 - x0) / (y1 - y0) group by all having count(*) % 2 = 1)
+    select scene_id, r, c, case when not exists (select 1 from hits h where h.scene_id = m.scene_id and h.r = m.r and h.c = m.c) then dn end as dn from m""",
+    "pixels",
+)
+def land_polygon_mask(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    x, y = k % 5 * F.lit(9.5), k % 6 * F.lit(7.0)
+    corner = lambda a, b: F.struct((x + a).alias("x"), (y + b).alias("y"))
+    rings = spark.read.parquet(f"{d}/nation.parquet").select((k % 7 + 1).alias("scene_id"), k.alias("polygon"), F.array(corner(0.0, 0.0), corner(14.25, 5.25), corner(3.5, 16.75)).alias("points"))
+    return polygons.polygons_masked(masked(spark, d), polygons.sides(rings)).select("scene_id", "r", "c", "dn")
