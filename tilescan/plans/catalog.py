@@ -88,15 +88,12 @@ def nms_per_scene(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""with s as (select * from detections where filename in ('scene_3.tif', 'scene_7.tif'))
-    select a.filename as filename, a.ordinal as a, b.ordinal as b, round({sql_iou("a", "b")}, 9) as iou
-    from s a join s b on a.filename = b.filename and a.ordinal < b.ordinal where {sql_iou("a", "b")} > 0.0""",
+    f"""select a.filename as filename, a.ordinal as a, b.ordinal as b, round({sql_iou("a", "b")}, 9) as iou
+    from detections a join detections b on a.filename = b.filename and a.ordinal < b.ordinal where {sql_iou("a", "b")} > 0.0""",
     "detections",
 )
 def pairwise_iou(spark: SparkSession, d: str) -> DataFrame:
-    # two scenes are the query's subject: the table of pairs is an analysis view of single scenes
-    two = view(spark, d, "detections").where(F.col("filename").isin("scene_3.tif", "scene_7.tif"))
-    return boxes.pairwise_iou(two).withColumn("iou", F.round("iou", 9))
+    return boxes.pairwise_iou(view(spark, d, "detections")).withColumn("iou", F.round("iou", 9))
 
 
 @query("select filename, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, round(avg(confidence), 6) as confidence, count(*) as n from detections group by filename", "detections")
