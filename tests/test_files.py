@@ -28,6 +28,44 @@ def test_polygon_mask_against_every_pixel(spark):
         assert (v is None) == any(s == t and inside(c + 0.5, r + 0.5, rs) for t, rs in shapes)
 
 
+def meets(c, r, ring):
+    """A side of the ring runs through the pixel: it is cut to the pixel's square and something is left."""
+    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+        t0, t1 = 0.0, 1.0
+        for start, delta, low in ((ax, bx - ax, c), (ay, by - ay, r)):
+            if delta == 0:
+                if not low <= start < low + 1:
+                    t0 = 2.0
+                continue
+            u, v = sorted(((low - start) / delta, (low + 1 - start) / delta))
+            t0, t1 = max(t0, u), min(t1, v)
+        if t0 <= t1:
+            return True
+    return False
+
+
+def test_mask_of_touched_pixels_against_every_pixel(spark):
+    rng = random.Random(8)
+    shapes = [(rng.randrange(2), [(rng.uniform(-3, 23), rng.uniform(-3, 23)) for _ in range(rng.randrange(3, 8))]) for _ in range(4)]
+    shapes.append((2, [(1.25, 2.5), (7.5, 2.5), (7.5, 2.75), (1.25, 2.75)]))  # level and upright sides, no centre but on a side
+    table = spark.createDataFrame([(s, str(k), [{"x": x, "y": y} for x, y in ring]) for k, (s, ring) in enumerate(shapes)], "scene_id int, polygon string, points array<struct<x:double,y:double>>")
+    px = spark.createDataFrame([(s, r, c, 7) for s in range(4) for r in range(20) for c in range(20)], "scene_id int, r int, c int, dn int")
+    got = {(x["scene_id"], x["r"], x["c"]): x["dn"] for x in polygons.polygons_masked(px, polygons.sides(table), all_touched=True).collect()}
+    assert len(got) == 1600
+    for (s, r, c), v in got.items():
+        assert (v is None) == any(s == t and (inside(c + 0.5, r + 0.5, [ring]) or meets(c, r, ring)) for t, ring in shapes), (s, r, c)
+
+
+def test_tags_of_sidecars(spark, tmp_path):
+    item = "<PAMDataset><Metadata>{}</Metadata><Metadata domain='d' format='xml'><g:A xmlns:g='u'><g:b>1</g:b></g:A></Metadata></PAMDataset>"
+    (tmp_path / "a.jp2.aux.xml").write_text(item.format("<MDI key='max_val'>0.25</MDI>\n<MDI key='min_val'>-1.5</MDI><MDI key='note'>x y</MDI>"))
+    (tmp_path / "b.jp2.aux.xml").write_text(item.format("<MDI key='max_val'>none</MDI>"))
+    (tmp_path / "c.xml").write_text(item.format("<MDI key='max_val'>9</MDI>"))
+    tags = files.raster_tags(spark, str(tmp_path))
+    assert sorted((r["path"].rsplit("/", 1)[1], r["tags"]) for r in tags.collect()) == [("a.jp2.aux.xml", {"max_val": "0.25", "min_val": "-1.5", "note": "x y"}), ("b.jp2.aux.xml", {"max_val": "none"})]
+    assert sorted((r["lo"], r["hi"]) for r in files.value_range(tags).collect()) == [(-1.5, 0.25), (0.0, 1.0)]
+
+
 def test_no_polygons_and_level_sides(spark):
     px = spark.createDataFrame([(1, 0, 0, 5)], "scene_id int, r int, c int, dn int")
     none = spark.createDataFrame([(1, "a", 0.0, 0.5, 9.0, 0.5)], "scene_id int, polygon string, x0 double, y0 double, x1 double, y1 double")

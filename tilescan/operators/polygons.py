@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,11 +21,36 @@ def spans(edges: DataFrame) -> DataFrame:
     return line.where(F.size("x") >= 2).withColumn("span", F.explode(pairs)).groupBy("scene_id", "r").agg(F.collect_list("span").alias("spans"))
 
 
-def polygons_masked(pixels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pixels (scene_id, r, c, dn) whose centre lies in a polygon become nodata; without polygons nothing changes."""
+def crossed(edges: DataFrame) -> DataFrame:
+    """scene_id, r, spans: the columns through which sides of polygons run in row r.
+
+    A pixel holds its upper and left border and not the others; a side counts with both its ends.
+    """
+    low, high, r = F.least("y0", "y1"), F.greatest("y0", "y1"), F.col("r")
+    lines = edges.withColumn("r", F.explode(F.sequence(F.floor(low).cast("int"), F.floor(high).cast("int"))))
+
+    def at(y: Column) -> Column:
+        x = F.col("x0") + (y - F.col("y0")) * (F.col("x1") - F.col("x0")) / F.nullif(F.col("y1") - F.col("y0"), F.lit(0.0))
+        # rounding must not carry the crossing past the side's ends
+        return F.greatest(F.least("x0", "x1"), F.least(F.greatest("x0", "x1"), x))
+
+    a, b = at(F.greatest(low, r.cast("double"))), at(F.least(high, r + F.lit(1.0)))
+    level = F.col("y0") == F.col("y1")
+    left = F.when(level, F.least("x0", "x1")).otherwise(F.least(a, b))
+    right = F.when(level, F.greatest("x0", "x1")).otherwise(F.greatest(a, b))
+    span = F.struct(F.floor(left).cast("double").alias("from"), (F.floor(right) + 1).cast("double").alias("to"))
+    return lines.groupBy("scene_id", "r").agg(F.collect_set(span).alias("spans"))
+
+
+def polygons_masked(pixels: DataFrame, edges: DataFrame, all_touched: bool = False) -> DataFrame:
+    """Pixels (scene_id, r, c, dn) whose centre lies in a polygon become nodata, with ``all_touched`` also those through
+    which a side runs; without polygons nothing changes."""
     x = F.col("c") + F.lit(0.5)
     inside = F.exists("spans", lambda s: (x >= s["from"]) & (x < s["to"]))
-    joined = pixels.join(spans(edges), ["scene_id", "r"], "left")
+    rows = spans(edges)
+    if all_touched:
+        rows = rows.unionByName(crossed(edges)).groupBy("scene_id", "r").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    joined = pixels.join(rows, ["scene_id", "r"], "left")
     return joined.withColumn("dn", F.when(~F.coalesce(inside, F.lit(False)), F.col("dn"))).select(*pixels.columns)
 
 

@@ -416,18 +416,39 @@ def preview_windows(spark: SparkSession, d: str) -> DataFrame:
     return windows.preview_windows(boxes_in, TRANSFORM).select("ordinal", "filename", "col_off", "row_off", "win_w", "win_h")
 
 
-@query(
-    f"""with {MASKED}, land as (select n_nationkey % 7 + 1 as scene_id, n_nationkey, n_nationkey % 5 * 9.5 as x, n_nationkey % 6 * 7.0 as y from nation),
-    sides as (select scene_id, n_nationkey, x as x0, y as y0, x + 14.25 as x1, y + 5.25 as y1 from land
-      union all select scene_id, n_nationkey, x + 14.25, y + 5.25, x + 3.5, y + 16.75 from land union all select scene_id, n_nationkey, x + 3.5, y + 16.75, x, y from land),
+LAND = """land as (select n_nationkey % 7 + 1 as scene_id, n_nationkey, n_nationkey % 5 * 9.5::double as x, n_nationkey % 6 * 7.0::double as y from nation),
+    sides as (select scene_id, n_nationkey, x as x0, y as y0, x + 14.25::double as x1, y + 5.25::double as y1 from land
+      union all select scene_id, n_nationkey, x + 14.25::double, y + 5.25::double, x + 3.5::double, y + 16.75::double from land
+      union all select scene_id, n_nationkey, x + 3.5::double, y + 16.75::double, x, y from land),
     hits as (select m.scene_id, r, c, n_nationkey from m join sides s on s.scene_id = m.scene_id and (y0 <= r + 0.5) <> (y1 <= r + 0.5)
-      and c + 0.5 >= x0::double + (r + 0.5::double - y0) * (x1 - x0) / (y1 - y0) group by all having count(*) % 2 = 1)
+      and c + 0.5 >= x0 + (r + 0.5::double - y0) * (x1 - x0) / (y1 - y0) group by all having count(*) % 2 = 1)"""
+
+
+@query(
+    f"""with {MASKED}, {LAND}
     select scene_id, r, c, case when not exists (select 1 from hits h where h.scene_id = m.scene_id and h.r = m.r and h.c = m.c) then dn end as dn from m""",
     "pixels",
 )
 def land_polygon_mask(spark: SparkSession, d: str) -> DataFrame:
+    return polygons.polygons_masked(masked(spark, d), triangles(spark, d)).select("scene_id", "r", "c", "dn")
+
+
+def triangles(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("n_nationkey")
     x, y = k % 5 * F.lit(9.5), k % 6 * F.lit(7.0)
     corner = lambda a, b: F.struct((x + a).alias("x"), (y + b).alias("y"))
     rings = spark.read.parquet(f"{d}/nation.parquet").select((k % 7 + 1).alias("scene_id"), k.alias("polygon"), F.array(corner(0.0, 0.0), corner(14.25, 5.25), corner(3.5, 16.75)).alias("points"))
-    return polygons.polygons_masked(masked(spark, d), polygons.sides(rings)).select("scene_id", "r", "c", "dn")
+    return polygons.sides(rings)
+
+
+@query(
+    f"""with {MASKED}, {LAND},
+    lines as (select *, unnest(range(floor(least(y0, y1))::bigint, floor(greatest(y0, y1))::bigint + 1)) as r from sides),
+    ends as (select *, x0 + (greatest(least(y0, y1), r::double) - y0) * (x1 - x0) / (y1 - y0) as xa, x0 + (least(greatest(y0, y1), r + 1.0::double) - y0) * (x1 - x0) / (y1 - y0) as xb from lines),
+    runs as (select scene_id, r, floor(greatest(least(x0, x1), least(xa, xb))) as c0, floor(least(greatest(x0, x1), greatest(xa, xb))) as c1 from ends)
+    select scene_id, r, c, case when not exists (select 1 from hits h where h.scene_id = m.scene_id and h.r = m.r and h.c = m.c)
+      and not exists (select 1 from runs h where h.scene_id = m.scene_id and h.r = m.r and m.c between h.c0 and h.c1) then dn end as dn from m""",
+    "pixels",
+)
+def land_touched_mask(spark: SparkSession, d: str) -> DataFrame:
+    return polygons.polygons_masked(masked(spark, d), triangles(spark, d), all_touched=True).select("scene_id", "r", "c", "dn")

@@ -20,7 +20,11 @@ def rasters(spark: SparkSession, path: str) -> DataFrame:
 
 def read_detections(spark: SparkSession, path: str) -> DataFrame:
     """filename, x0, y0, x1, y1, confidence; rows whose box is not four numbers are left out."""
-    table = spark.read.option("header", True).schema(COLUMNS).csv(path)
+    return with_boxes(spark.read.option("header", True).schema(COLUMNS).csv(path))
+
+
+def with_boxes(table: DataFrame) -> DataFrame:
+    """filename, bbox, confidence with the box as numbers; of a table or a stream."""
     boxes = table.withColumn("b", G.parse_box(F.col("bbox"))).where("b is not null")
     return boxes.select("filename", *(F.col("b")[k].alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))), "confidence")
 
@@ -34,6 +38,20 @@ def write_detections(boxes: DataFrame, path: str, single: bool = True) -> None:
     table.write.mode("overwrite").option("header", True).csv(path)
 
 
+def raster_tags(spark: SparkSession, path: str) -> DataFrame:
+    """path and tags (a map) of the XML sidecars of rasters; of a repeated tag the largest value stays."""
+    items = spark.read.format("xml").option("rowTag", "MDI").option("pathGlobFilter", "*.aux.xml").schema("_key string, _VALUE string").load(path)
+    tag = items.select(F.col("_metadata.file_path").alias("path"), F.col("_key").alias("key"), F.col("_VALUE").alias("value")).where("key is not null")
+    single = tag.groupBy("path", "key").agg(F.max("value").alias("value"))
+    return single.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("tags"))
+
+
+def value_range(tags: DataFrame) -> DataFrame:
+    """path, lo, hi of ``raster_tags``: the range that 16-bit numbers stand for, 0 to 1 where a tag is absent or no number."""
+    number = lambda key, default: F.coalesce(F.col("tags")[key].try_cast("double"), F.lit(default))
+    return tags.select("path", number("min_val", 0.0).alias("lo"), number("max_val", 1.0).alias("hi"))
+
+
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
     """polygon, ring, points (array of x, y) of the Polygon and MultiPolygon features of a GeoJSON collection."""
     shape = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
