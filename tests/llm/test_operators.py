@@ -127,6 +127,24 @@ def test_lattice(spark):
     assert op1_lattice.near_duplicates(spark.createDataFrame([], VECS)).count() == 0
 
 
+def test_lattice_counts_every_link_of_large_cells(spark, monkeypatch):
+    """Cells above the cap go through the blocks; each link is counted once, also those within one block."""
+    from tilescan.llm import grouping
+
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(2, 64))
+    rows = [(k, [float(np.float32(x)) for x in base[k % 2] + rng.normal(size=64) * 0.1], 0, 5, 6) for k in range(160)]
+    monkeypatch.setattr(op1_lattice, "by_bucket", lambda *a: grouping.by_bucket(*a, cap=20, block=16))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in op1_lattice.near_duplicates(spark.createDataFrame(rows, VECS)).collect()}
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    labels = np.arange(len(x))
+    merge(labels, *np.nonzero(near))
+    assert got == {k: (int(near[k].sum()), int(labels[k])) for k in range(len(x))}
+
+
 def test_lattice_recall_at_the_threshold():
     rng = np.random.default_rng(0)
     x, z = rng.normal(size=(2, 3000, 64))

@@ -142,7 +142,7 @@ def near_duplicates(vecs: DataFrame, threshold: float = 0.95, tables: int = 8, b
 
     def work(rows: pa.Table, starts: np.ndarray, ends: np.ndarray, cross: bool) -> pa.Table:
         ids, n, home, in_table = (rows.column(c).to_numpy() for c in ("id", "n", "home", "in_table"))
-        key = rows.column("bucket" if cross else "key").to_numpy()
+        key = rows.column("bucket" if "bucket" in rows.column_names else "key").to_numpy()  # the cell: blocks have a key of their own
         side = rows.column("side").to_numpy() if cross else None
         x = np.frombuffer(b"".join(rows.column("v").to_pylist()), np.float64).reshape(-1, dim)
         x = x / np.linalg.norm(x, axis=1)[:, None]
