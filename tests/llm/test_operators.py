@@ -78,6 +78,15 @@ def test_simhash_finds_every_link_of_random_fingerprints(spark):
     assert {r["id"]: r["component"] for r in found} == want
 
 
+def test_one_of_each_judges_rows(spark):
+    """Rows without an id, or with one id and other texts, are documents of their own; plain repeats are not."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(60)) for _ in range(6)]
+    rows = [(1, texts[0], "a"), (None, texts[0], "b"), (None, texts[1], "c"), (None, texts[2], "d"), (None, texts[2], "d"), (7, texts[3], "e"), (7, texts[3], "e"), (7, texts[4], "f"), (9, texts[4], "g"), (8, texts[5], "h"), (8, texts[0], "i")]
+    kept = op3_simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), words=5)
+    assert sorted(r["source"] for r in kept.collect()) == ["a", "c", "d", "e", "f", "h"]
+
+
 def test_large_buckets_are_split_and_lose_nothing(spark):
     """A bucket above the cap goes through the blocks."""
     from tilescan.llm import grouping

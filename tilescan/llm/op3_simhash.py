@@ -31,6 +31,7 @@ from tilescan.llm.grouping import by_bucket, components, index_pairs, merge
 
 BITS = 64
 CHUNK = 1 << 15
+ROW = "tilescan_row"
 
 
 def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
@@ -109,13 +110,36 @@ def near_duplicates(docs: DataFrame, distance: int = 4, words: int = 4) -> DataF
 
 
 def one_of_each(docs: DataFrame, distance: int = 4, words: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; rows with a null doc_id stay only where no id is linked.
+    """One row of each component of the links: that with the smallest doc_id (nulls last), then text hash, then place in ``docs``.
 
-    Rows that share a doc_id are one document: they stay or go together, by its smallest component.
+    Each row is judged by its own text: rows that share a doc_id, or have none, are documents of their own.
     """
-    dealt = near_duplicates(docs.select("doc_id", "text"), distance, words)
-    kept = dealt.groupBy("doc_id").agg(F.min("component_id").alias("c")).where("doc_id <=> c").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    numbered, rows = _numbered(docs, words)
+    found = components(links(rows, distance))
+    return _survivors(docs, numbered, rows, found)
+
+
+def _numbered(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` written with a number of each row, and row, doc_id, own (hash of the text) and fp of each."""
+    ship(docs.sparkSession)
+    numbered = cut(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = as_bytes(batch)
+            own = np.array([xxhash.xxh64_intdigest(x) for x in found], np.uint64).view(np.int64)
+            fps = pa.array([fingerprint(x, words) for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(own), fps], names=["row", "doc_id", "own", "fp"])
+
+    plain = numbered.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return numbered, cut(plain.mapInArrow(walk, "row long, doc_id long, own long, fp long"))
+
+
+def _survivors(docs: DataFrame, numbered: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+    rooted = rows.join(found.withColumnRenamed("id", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own", "row")).alias("least")
+    kept = rooted.groupBy("root").agg(least).select(F.col("least.row").alias(ROW))
+    return numbered.join(kept, ROW, "left_semi").select(*(numbered[c] for c in docs.columns))
 
 
 def hex_fingerprint(fp: F.Column) -> F.Column:
