@@ -19,7 +19,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group linked at 4 or fewer bits; shingles of five words."""
+    """The row with the smallest doc_id of each group linked at 4 or fewer bits, or at a similarity of 0.8 or more; shingles of five words."""
     return op3_simhash.one_of_each(docs, distance=4, words=5)
 
 

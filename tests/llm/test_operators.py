@@ -87,6 +87,32 @@ def test_one_of_each_judges_rows(spark):
     assert sorted(r["source"] for r in kept.collect()) == ["a", "c", "d", "e", "f", "h"]
 
 
+def test_one_of_each_links_similar_texts(spark):
+    """Texts at a similarity of 0.8 or more link at any distance of their fingerprints, in split buckets too."""
+    rng = random.Random(6)
+
+    def shingled(text):
+        parts = text.split()
+        return {tuple(parts[k : k + 5]) for k in range(len(parts) - 4)}
+
+    def alike(x, y):
+        return len(shingled(x) & shingled(y)) / len(shingled(x) | shingled(y)) >= 0.8
+
+    texts = []
+    for _ in range(40):
+        base = ["w%d" % rng.randrange(5000) for _ in range(rng.randint(120, 240))]
+        texts.append(" ".join(base))
+        for cut_off in (0.12, 0.17, 0.3):
+            texts.append(" ".join(base[: int(len(base) * (1 - cut_off))]))
+    far = [(i, j) for j in range(len(texts)) for i in range(j) if alike(texts[i], texts[j]) and bin(bits(texts[i], 5) ^ bits(texts[j], 5)).count("1") > 4]
+    assert len(far) > 20
+    labels = np.arange(len(texts))
+    linked = [(i, j) for j in range(len(texts)) for i in range(j) if alike(texts[i], texts[j]) or bin(bits(texts[i], 5) ^ bits(texts[j], 5)).count("1") <= 4]
+    merge(labels, *np.array(linked).T)
+    kept = op3_simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=5)
+    assert sorted(r["doc_id"] for r in kept.collect()) == np.unique(labels).tolist()
+
+
 def test_large_buckets_are_split_and_lose_nothing(spark):
     """A bucket above the cap goes through the blocks."""
     from tilescan.llm import grouping
