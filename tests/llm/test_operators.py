@@ -333,6 +333,15 @@ def test_html(spark):
     assert next(r["text"] for r in got if r["page_id"] == 2) == ""
 
 
+def test_html_raw_text_holds_no_markup():
+    body = "<article><h1>Title</h1><p>First paragraph, here.</p></article>"
+    for raw in ("<script>for(var i=0;i<n;i++){f(i)}</script>", "<SCRIPT>a<b</sCript >", "<style>a<b \"</style>", "<script>if(a<b){s='</scripty>'}</script\n>", "<script><!-- x<y </script>"):
+        blocks = [text for _, text in op2_html.parse(f"<html><body>{raw}{body}").blocks]
+        assert blocks == ["Title", "First paragraph, here."], raw
+    assert op2_html.parse("<p>before</p><script>i<n").blocks == op2_html.parse("<p>before</p>").blocks
+    assert op2_html.parse("<p>before</p><script>x</script").blocks == op2_html.parse("<p>before</p>").blocks
+
+
 def test_html_marginals_equal_enumeration():
     model = op2_html.default_model()
     page = op2_html.parse("<div><p>a, b c.</p><ul><li><a href=x>l</a></li></ul><h2>t</h2></div>")

@@ -38,6 +38,7 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template svg math iframe select option button head object".split())
 UNPARSED = frozenset("script style textarea title iframe".split())
+RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.I | re.A) for tag in UNPARSED}
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BOUNDARY = {"p": frozenset("article aside body div section td th li main header footer nav form blockquote table ul ol dl figure html".split()), "li": frozenset(["ul", "ol", "body"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"])}
@@ -79,7 +80,7 @@ def parse(page: str) -> Page:
     out = Page([Element("root", -1)])
     stack: list[tuple[str, int]] = [("root", 0)]  # open elements; inline ones have the number of the block around them
     run: list[str] = []
-    links, linked, skip_until, muted = 0, 0, "", 0
+    links, linked, muted = 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -109,12 +110,11 @@ def parse(page: str) -> Page:
             muted -= tag in RAW
         del stack[at:]
 
-    for m in TOKEN.finditer(page):
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)  # something matches at every place
+        at = m.end()
         whole, tag = m.group(0), m.group(2)
-        if skip_until:
-            if tag and m.group(1) and tag.lower() == skip_until:
-                skip_until = ""
-            continue
         if tag is None:
             if whole[0] != "<" or len(whole) == 1:
                 if not muted:
@@ -134,7 +134,11 @@ def parse(page: str) -> Page:
                 run.append(" ")
             continue
         if tag in UNPARSED:
-            skip_until = tag
+            # raw text: no markup but its own end tag
+            end = RAW_END[tag].search(page, at)
+            at = page.find(">", end.end() - 1) + 1 if end else 0
+            if not at:
+                break
             continue
         if tag == "body" or tag == "article" and muted:
             muted = 0  # a head that was never closed
