@@ -9,9 +9,13 @@ gradient needs the same marginals; the labelled pages are generated (``labelled_
 The text of a block (the text between two borders of block elements) belongs to the element around it and is kept if that
 element's marginal is 0.5 or more.
 
+Pages are scanned by the tokenising rules of the HTML standard, in linear time: quotes count at the start of an attribute's
+value only, scripts and styles end at their own end tag, an unfinished tag or comment reaches to the page's end.
+
 Defined results: a null or empty page, or one without content, has an empty text; end tags may be missing and tags
-unbalanced; scripts, styles, comments, titles and form fields are no text; character references are decoded, white space
-in a block becomes one space, blocks are joined by a line feed; nothing is capped.  Every row is kept, with repeated or null
+unbalanced; scripts, styles, comments, titles and form fields are no text, formulas and the text of drawings and objects
+are; character references are decoded, white space (also of Unicode, such as no-break spaces) in a block becomes one
+space, blocks are joined by a line feed; nothing is capped.  Every row is kept, with repeated or null
 page_ids; other columns are ignored.
 """
 
@@ -21,6 +25,7 @@ import html as entities
 import math
 import random
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,16 +36,22 @@ from pyspark.sql import functions as F
 
 from tilescan.llm.common import ship, texts
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+SPACES = "\t\n\f\r "
+OPEN = re.compile(rf"<(/?)([a-zA-Z][^{SPACES}/>]*)")
+ATTRIBUTE = re.compile(rf"[{SPACES}/]*([^{SPACES}/>][^{SPACES}/>=]*)?[{SPACES}]*")
+BLANK = re.compile(rf"[{SPACES}]*")
+UNQUOTED = re.compile(rf"[^{SPACES}>]*")
+COMMENT_END = re.compile("--!?>")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # fixed values: element names of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template svg math iframe select option button head object".split())
-UNPARSED = frozenset("script style textarea title iframe".split())
-RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.I | re.A) for tag in UNPARSED}
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+RAW = frozenset("noscript template select option button".split())
+UNPARSED = frozenset("script style textarea title iframe noembed noframes".split())
+RAW_END = {tag: re.compile(rf"</{tag}[{SPACES}/>]", re.I | re.A) for tag in UNPARSED}
+IN_HEAD = frozenset("base link meta title noscript noframes style script template".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font g i img ins kbd label mark math mfrac mi mn mo mover mrow ms mspace msqrt mstyle msub msubsup msup mtext munder object q s samp semantics small span strike strong sub sup svg text time tspan tt u var wbr".split())
+P = frozenset(["p"])
+CLOSES = {"p": P, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BOUNDARY = {"p": frozenset("article aside body div section td th li main header footer nav form blockquote table ul ol dl figure html".split()), "li": frozenset(["ul", "ol", "body"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"])}
 PARAGRAPH_ENDERS = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 # words of class, id and role names, by what they tell
@@ -75,10 +86,52 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)  # (element, text), in page order
 
 
+def comment_end(page: str, at: int) -> int:
+    """The place after the comment, declaration or bogus comment that begins at ``at``; of an unfinished one the page's end."""
+    if page.startswith("<!--", at):
+        for short in (">", "->"):
+            if page.startswith(short, at + 4):
+                return at + 4 + len(short)
+        m = COMMENT_END.search(page, at + 4)
+        return m.end() if m else len(page)
+    return page.find(">", at + 2) + 1 or len(page)
+
+
+def tag_end(page: str, at: int) -> tuple[int, list[str]]:
+    """The place after the tag whose attributes begin at ``at``, and the values of class, id and role.
+
+    Quotes count at the start of a value only; a tag that the page does not finish reaches to its end.  Each character is
+    looked at a bounded number of times.
+    """
+    kept: list[str] = []
+    while True:
+        m = ATTRIBUTE.match(page, at)
+        at = m.end()
+        if at >= len(page):
+            return at, kept
+        if m[1] is None:
+            return at + 1, kept
+        if page[at] != "=":
+            continue
+        at = BLANK.match(page, at + 1).end()
+        quote = page[at : at + 1]
+        if quote and quote in "\"'":
+            end = page.find(quote, at + 1)
+            if end < 0:
+                return len(page), kept
+            value, at = page[at + 1 : end], end + 1
+        else:
+            end = UNQUOTED.match(page, at).end()
+            value, at = page[at:end], end
+        if m[1].lower() in ("class", "id", "role"):
+            kept.append(value)
+
+
 def parse(page: str) -> Page:
-    """The tree of the block elements of a page, and its blocks of text."""
+    """The tree of the block elements of a page, and its blocks of text; in time linear in the page's length."""
     out = Page([Element("root", -1)])
     stack: list[tuple[str, int]] = [("root", 0)]  # open elements; inline ones have the number of the block around them
+    places: dict[str, list[int]] = {}  # by tag, where it is in the stack
     run: list[str] = []
     links, linked, muted = 0, 0, 0
 
@@ -88,83 +141,103 @@ def parse(page: str) -> Page:
             text = " ".join(entities.unescape("".join(run)).split())
             run.clear()
             if text:
-                at = stack[-1][1]
-                out.blocks.append((at, text))
-                marks = sum(map(text.count, ".,;!?"))
-                out.elements[at].own += len(text)
-                while at >= 0:
-                    e = out.elements[at]
-                    e.text += len(text)
-                    e.linked += min(linked, len(text))
-                    e.marks += marks
-                    at = e.parent
+                e = out.elements[stack[-1][1]]
+                out.blocks.append((stack[-1][1], text))
+                e.own += len(text)
+                e.linked += min(linked, len(text))
+                e.marks += sum(map(text.count, ".,;!?"))
             linked = 0
 
+    def push(tag: str, element: int) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, element))
+
     def close(at: int) -> None:
         """Closes the open elements from place ``at`` of the stack on."""
         nonlocal links, muted
         if any(tag not in INLINE for tag, _ in stack[at:]):
             flush()
         for tag, _ in stack[at:]:
+            places[tag].pop()
             links -= tag == "a"
             muted -= tag in RAW
         del stack[at:]
 
-    at = 0
-    while at < len(page):
-        m = TOKEN.match(page, at)  # something matches at every place
-        at = m.end()
-        whole, tag = m.group(0), m.group(2)
-        if tag is None:
-            if whole[0] != "<" or len(whole) == 1:
-                if not muted:
-                    run.append(whole)
-                    if links:
-                        linked += len(whole)
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def say(text: str) -> None:
+        nonlocal linked
+        if stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
+        if not muted:
+            run.append(text)
+            if links:
+                linked += len(text)
+
+    at, n = 0, len(page)
+    while at < n:
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = n if end < 0 else end
+            say(page[at:end])
+            at = end
+            continue
+        m = OPEN.match(page, at)
+        if m is None:
+            if page[at + 1 : at + 2] in ("!", "?") or page[at + 1 : at + 2] == "/" and at + 2 < n:
+                at = comment_end(page, at)
+            else:
+                say("<")
+                at += 1
             continue
-        tag = tag.lower()
-        if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+        tag = m[2].lower()
+        at, named = tag_end(page, m.end())
+        if m[1] and tag != "br":
+            if places.get(tag):
+                close(places[tag][-1])
             continue
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            close(len(stack) - 1)
         if tag == "br" or tag in VOID and tag != "hr":
             if tag == "br":
-                run.append(" ")
+                say(" ")
             continue
         if tag in UNPARSED:
             # raw text: no markup but its own end tag
             end = RAW_END[tag].search(page, at)
-            at = page.find(">", end.end() - 1) + 1 if end else 0
-            if not at:
+            if not end:
                 break
+            at, _ = tag_end(page, end.end() - 1)
             continue
-        if tag == "body" or tag == "article" and muted:
-            muted = 0  # a head that was never closed
-            stack[:] = [x for x in stack if x[0] not in RAW]
-        ends = CLOSES.get(tag, {"p"} if tag in PARAGRAPH_ENDERS else set())
+        if muted and tag in ("body", "article"):
+            first = min(places[t][0] for t in RAW if places.get(t))  # never closed
+            close(first)
+        ends = CLOSES.get(tag, P if tag in PARAGRAPH_ENDERS else ())
         if ends:
-            edges = BOUNDARY.get(tag, BOUNDARY["p"])
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    close(k)
-                    break
-                if stack[k][0] in edges:
-                    break
+            edge = last(BOUNDARY.get(tag, BOUNDARY["p"]))
+            inner = [places[t][k] for t in ends if places.get(t) and (k := bisect(places[t], edge)) < len(places[t])]
+            if inner:
+                close(min(inner))
         if tag in INLINE:
             links += tag == "a"
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             continue
         flush()
         if tag == "hr":
             continue
-        names = tuple(w for a in ATTRIBUTE.finditer(m.group(3) or "") for w in map(str.lower, NAME.findall(a[2] or a[3] or a[4] or "")))
+        names = tuple(w for value in named for w in map(str.lower, NAME.findall(value)))
         out.elements.append(Element(tag, stack[-1][1], names))
         muted += tag in RAW
-        if not (m.group(3) or "").endswith("/") or tag not in VOID:
-            stack.append((tag, len(out.elements) - 1))
+        push(tag, len(out.elements) - 1)
     flush()
+    for e in out.elements:
+        e.text = e.own
+    for e in reversed(out.elements[1:]):  # parents come before their children
+        up = out.elements[e.parent]
+        up.text += e.text
+        up.linked += e.linked
+        up.marks += e.marks
     return out
 
 
