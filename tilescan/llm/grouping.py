@@ -1,8 +1,9 @@
 """Linear-output work on groups of rows that share a key, and connected components.
 
-A *bucket* is the rows of one key.  Rows are dealt out and sorted by key, and a task walks over whole buckets in
-numpy.  A bucket above ``cap`` rows is handed on and split into blocks, each pair of blocks being a task of its own, so
-no bucket has to fit in one task and none is cut short.
+A *bucket* is the rows of one key.  Rows are dealt out by ranges of (key, id) and sorted, so that a bucket of any size is
+spread over as many tasks as it fills, and a task walks over the buckets that lie within its range in numpy.  Buckets above
+``cap`` rows, and those at the ends of a range, are handed on and split into blocks, each pair of blocks being a task of its
+own, so no bucket has to fit in one task and none is cut short.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from tilescan.llm.common import cut, ship
 
 SHORT = 48
 PAIRS = 1 << 16
+SMALL = 1_000_000
 Work = Callable[[pa.Table, np.ndarray, np.ndarray, bool], pa.Table]
 
 
@@ -101,8 +103,10 @@ def by_bucket(df: DataFrame, work: Work, out: T.StructType, cap: int = 4096, blo
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n_held, hot = 0, None
+        n_held, hot, begun = 0, None, False
         for batch in batches:
+            if batch.num_rows and not begun:
+                hot, begun = batch.column("key")[0].as_py(), True  # the first bucket may have begun in another task
             if batch.num_rows and hot is not None:
                 upto = int(np.searchsorted(batch.column("key").to_numpy(), hot, "right"))
                 if upto:
@@ -128,19 +132,24 @@ def by_bucket(df: DataFrame, work: Work, out: T.StructType, cap: int = 4096, blo
             else:
                 held, n_held = rows.combine_chunks().to_batches(), rows.num_rows
         if held:
-            yield from limited(pa.Table.from_batches(held).combine_chunks())
+            rows = pa.Table.from_batches(held).combine_chunks()
+            keys = rows.column("key").to_numpy()
+            last = int(np.searchsorted(keys, keys[-1], "left"))
+            if last:
+                yield from limited(rows.slice(0, last).combine_chunks())
+            yield from handed(rows.slice(last))  # the last one may go on in another task
 
-    first = cut(df.repartition("key").sortWithinPartitions("key").mapInArrow(walk, both))
+    first = cut(df.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInArrow(walk, both))
     rest = first.where(F.col("in_key").isNotNull()).select(*(F.col(f"in_{n}").alias(n) for n in names))
     return first.where(F.col("in_key").isNull()).select(*out.names).unionByName(_in_blocks(rest, work, out, block))
 
 
 def _in_blocks(df: DataFrame, work: Work, out: T.StructType, block: int) -> DataFrame:
     """``work`` on large buckets: each row goes to one of n blocks by its id, and to the n tasks that pair this block with each other."""
-    n = df.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("n_blocks"))
+    n = cut(df.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / block).alias("n_blocks")))
     own = F.pmod(F.xxhash64("id"), F.col("n_blocks"))
     dealt = (
-        df.join(n, "key")
+        df.join(small(n), "key")
         .withColumn("side", own.cast("long"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
         .withColumn("bucket", F.col("key"))
@@ -172,11 +181,19 @@ def _in_blocks(df: DataFrame, work: Work, out: T.StructType, block: int) -> Data
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(walk, out)
 
 
+def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """``df`` (a written table of few columns) with a broadcast hint if it has at most ``rows`` rows; beyond, joins shuffle and
+    split what is skewed."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) for every id of ``edges`` (a, b: long): the smallest id it can reach.
 
     Alternates star operations, each of which points ids at smaller ones, until nothing changes; each round is written
-    to the shared folder.  No edge or label reaches the driver, only a count and a sum of hashes.
+    to the shared folder.  The middle of a star is one key: up to ``SMALL`` edges the least neighbours are broadcast, beyond
+    they are written, as joins of plain tables have their skewed sides split.  No edge or label reaches the driver, only a
+    count and a sum of hashes.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
@@ -186,9 +203,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         seen = sign
         around = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        at_hand = F.broadcast if sign[0] <= SMALL else cut
+        least = at_hand(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = large if sign[0] <= SMALL else cut(large)
+        least = at_hand(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         now = cut(small.select("e.a", "e.b").where("a <> b").distinct())
     else:
