@@ -39,13 +39,22 @@ def window_transform(transform: list[float], col: Column, row: Column) -> Column
     return F.array(a, b, c + a * col + b * row, d, e, f + d * col + e * row)
 
 
-def utm_to_lonlat(easting: Column, northing: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
-    """Longitude and latitude (degrees) of UTM coordinates on WGS84, by the Krueger series to third order."""
+def _series() -> tuple[float, float]:
+    """The third flattening and the rectifying radius of WGS84."""
     n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
-    radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    return n, 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+
+
+def _given(value: Column | int | bool) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def utm_to_lonlat(easting: Column, northing: Column, zone: Column | int, south: Column | bool = False) -> tuple[Column, Column]:
+    """Longitude and latitude (degrees) of UTM coordinates on WGS84, by the Krueger series to third order."""
+    n, radius = _series()
     beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
     delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
-    xi = (northing - F.lit(1e7 if south else 0.0)) / (0.9996 * radius)
+    xi = (northing - F.when(_given(south), 1e7).otherwise(0.0)) / (0.9996 * radius)
     eta = (easting - 500000.0) / (0.9996 * radius)
     xi1, eta1 = xi, eta
     for k, b in enumerate(beta, 1):
@@ -55,5 +64,20 @@ def utm_to_lonlat(easting: Column, northing: Column, zone: int, south: bool = Fa
     lat = chi
     for k, d in enumerate(delta, 1):
         lat = lat + d * F.sin(2 * k * chi)
-    lon = F.lit(float(zone * 6 - 183)) + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
+    lon = (_given(zone) * 6 - 183).cast("double") + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
     return lon, F.degrees(lat)
+
+
+def lonlat_to_utm(lon: Column, lat: Column, zone: Column | int, south: Column | bool = False) -> tuple[Column, Column]:
+    """Easting and northing on WGS84 of longitude and latitude (degrees), by the same series."""
+    n, radius = _series()
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    e = 2 * n**0.5 / (1 + n)
+    sine, away = F.sin(F.radians(lat)), F.radians(lon - (_given(zone) * 6 - 183).cast("double"))
+    t = F.sinh(F.atanh(sine) - e * F.atanh(e * sine))
+    xi, eta = F.atan2(t, F.cos(away)), F.atanh(F.sin(away) / F.sqrt(1 + t * t))
+    x, y = eta, xi
+    for k, a in enumerate(alpha, 1):
+        x = x + a * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
+        y = y + a * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
+    return 500000.0 + 0.9996 * radius * x, F.when(_given(south), 1e7).otherwise(0.0) + 0.9996 * radius * y

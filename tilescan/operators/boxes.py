@@ -5,38 +5,77 @@ A detection is (filename, confidence, x0, y0, x1, y1, ordinal).  Order among equ
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from math import cos, radians
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilescan.functions.geometry import iou
+from tilescan.functions.workers import ship
 
 BOX = ("x0", "y0", "x1", "y1")
 
 
-def _ordered(detections: DataFrame) -> DataFrame:
-    """One row a scene with its detections, best first.  Rows without a filename, box or confidence are dropped."""
-    best = F.struct((-F.col("confidence")).alias("minus"), (-F.col("ordinal")).alias("last"), "confidence", "ordinal", *BOX)
-    clean = detections.dropna(subset=["filename", "confidence", *BOX]).where(~F.isnan("confidence"))
-    return clean.groupBy("filename").agg(F.array_sort(F.collect_list(best)).alias("boxes"))
+def parted(detections: DataFrame) -> DataFrame:
+    """``detections`` with ``part``: boxes of different parts of a scene are apart, and so are the envelopes of parts.
+
+    A scene is cut where a line across it meets no box: between columns, then between rows, and so once more.  Each cut is
+    a running maximum over the sorted boxes of a part, which Spark spills if need be.
+    """
+    out = detections.withColumn("part", F.lit(0).cast("long"))
+    for low, high in (("x0", "x1"), ("y0", "y1"), ("x0", "x1")):
+        line = W.partitionBy("filename", "part").orderBy(low, high)
+        apart = (F.col(low) >= F.max(high).over(line.rowsBetween(W.unboundedPreceding, -1))).cast("long")
+        out = out.withColumn("apart", F.coalesce(apart, F.lit(0)))
+        # a number for the piece of a part; part numbers only need to differ within a scene
+        out = out.withColumn("part", F.xxhash64("part", F.sum("apart").over(line.rowsBetween(W.unboundedPreceding, 0)))).drop("apart")
+    return out
+
+
+def overlaps(box: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Intersection over union of a box with each row of ``others``, by the rule of ``geometry.iou``."""
+    scale = np.cos(np.radians(((box[1] + box[3]) / 2 + (others[:, 1] + others[:, 3]) / 2) / 2))
+    a, b = (box[0] + box[2]) / 2, (others[:, 0] + others[:, 2]) / 2
+    half_a, half_b = (box[2] - box[0]) / 2 * scale, (others[:, 2] - others[:, 0]) / 2 * scale
+    w = np.maximum(0.0, np.minimum(a + half_a, b + half_b) - np.maximum(a - half_a, b - half_b))
+    shared = w * np.maximum(0.0, np.minimum(box[3], others[:, 3]) - np.maximum(box[1], others[:, 1]))
+    union = scale * ((box[2] - box[0]) * (box[3] - box[1]) + (others[:, 2] - others[:, 0]) * (others[:, 3] - others[:, 1])) - shared
+    return np.where(union > 0, shared / np.where(union > 0, union, 1.0), 0.0)
+
+
+def survivors(boxes: np.ndarray, threshold: float) -> np.ndarray:
+    """Places of the boxes (best first) that greedy suppression leaves."""
+    left, kept = np.arange(len(boxes)), []
+    while len(left):
+        kept.append(left[0])
+        rest = left[1:]
+        left = rest[overlaps(boxes[left[0]], boxes[rest]) <= threshold]
+    return np.array(kept, int)
 
 
 def suppressed(detections: DataFrame, threshold: float) -> DataFrame:
-    """Greedy suppression: a box stays unless its overlap with a better box that stays exceeds ``threshold``.
+    """Greedy suppression: a box stays unless its overlap with a better box that stays exceeds ``threshold``.  Rows without
+    filename, box or confidence are dropped.  The result has ``rank``, the place among the scene's boxes that stay.
 
-    Gathers one scene's boxes to a task (thousands at most, as windows of a scene are), in JVM expressions only.
+    A task gathers the boxes of one part of a scene, whose number the raster's windows bound, and compares in numpy.
     """
-    scenes = _ordered(detections)
     if threshold < 0:
         raise ValueError("the threshold must not be negative")
-    none = F.slice(F.col("boxes"), 1, 0)
-    # shrunk boxes lie within the plain ones, so boxes that are apart need no more than these comparisons
-    meet = lambda k, x: (k["x0"] < x["x1"]) & (x["x0"] < k["x1"]) & (k["y0"] < x["y1"]) & (x["y0"] < k["y1"])
-    kept = F.aggregate("boxes", none, lambda done, x: F.when(F.exists(done, lambda k: meet(k, x) & (iou(k, x) > threshold)), done).otherwise(F.concat(done, F.array(x))))
-    return scenes.select("filename", F.posexplode(kept).alias("rank", "b")).select("filename", F.col("rank").cast("long").alias("rank"), "b.confidence", "b.ordinal", *(f"b.{c}" for c in BOX))
+    ship(detections.sparkSession)
+    columns = ["filename", "confidence", "ordinal", *BOX]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(["confidence", "ordinal"], ascending=False, kind="stable")
+        return rows.iloc[survivors(rows[list(BOX)].to_numpy(float), threshold)][columns]
+
+    clean = detections.dropna(subset=["filename", "confidence", *BOX]).where(~F.isnan("confidence"))
+    kept = parted(clean.select(*columns)).groupBy("filename", "part").applyInPandas(one, "filename string, confidence double, ordinal long, x0 double, y0 double, x1 double, y1 double")
+    rank = F.row_number().over(W.partitionBy("filename").orderBy(F.desc("confidence"), F.desc("ordinal"))) - 1
+    return kept.select("filename", rank.cast("long").alias("rank"), "confidence", "ordinal", *BOX)
 
 
 def pairwise_iou(detections: DataFrame, above: float = 0.0) -> DataFrame:
@@ -58,10 +97,10 @@ def envelope(detections: DataFrame) -> DataFrame:
 
 
 class Shape:
-    """A union of boxes as disjoint rectangles, with the confidences of its members."""
+    """A union of boxes as disjoint rectangles, with the confidences of its members and the rank of the first."""
 
-    def __init__(self, rects: list[tuple[float, float, float, float]], confidences: list[float]):
-        self.rects, self.confidences = rects, confidences
+    def __init__(self, rects: list[tuple[float, float, float, float]], confidences: list[float], first: int = 0):
+        self.rects, self.confidences, self.first = rects, confidences, first
         self.x0, self.y0 = min(r[0] for r in rects), min(r[1] for r in rects)
         self.x1, self.y1 = max(r[2] for r in rects), max(r[3] for r in rects)
         sizes = [(r[2] - r[0]) * (r[3] - r[1]) for r in rects]
@@ -92,34 +131,42 @@ class Shape:
                     continue
                 cutout += [r for r in ((q[0], q[1], q[2], y0), (q[0], y1, q[2], q[3]), (q[0], y0, x0, y1), (x1, y0, q[2], y1)) if r[0] < r[2] and r[1] < r[3]]
             rest = cutout
-        return Shape(self.rects + rest, self.confidences + other.confidences)
+        return Shape(self.rects + rest, self.confidences + other.confidences, self.first)
+
+
+def absorbed(first: Shape, others: Iterable[Shape], threshold: float) -> tuple[Shape, list[Shape]]:
+    """``first`` with those of ``others`` that overlap it by more than ``threshold`` as it grows, and the ones that do not."""
+    apart = []
+    for other in others:
+        if first.overlap(other) > threshold:
+            first = first.united(other)
+        else:
+            apart.append(other)
+    return first, apart
 
 
 def unite(shapes: list[Shape], threshold: float) -> list[Shape]:
-    """Each shape takes in the later ones that overlap it by more than ``threshold``, as it grows, until a pass changes nothing."""
-    shapes, changed = list(shapes), True
-    while changed:
-        changed = False
-        for i in range(len(shapes)):
-            j = i + 1
-            while i < len(shapes) and j < len(shapes):
-                if shapes[i].overlap(shapes[j]) > threshold:
-                    shapes[i] = shapes[i].united(shapes.pop(j))
-                    changed = True
-                else:
-                    j += 1
+    """Each shape in turn absorbs later ones; passes go on until one leaves as many shapes as it found."""
+    before = None
+    while before != len(shapes):
+        before, left, shapes = len(shapes), shapes, []
+        while left:
+            grown, left = absorbed(left[0], left[1:], threshold)
+            shapes.append(grown)
     return shapes
 
 
 def united(detections: DataFrame, threshold: float) -> DataFrame:
-    """Envelopes and mean confidences of merged boxes (filename, rank, confidence, box), in the order of ``rank``."""
+    """Envelopes and mean confidences of merged boxes (filename, ordinal, confidence, n_members, box); ``ordinal`` is the rank
+    of the first member.  A task gathers one part of a scene."""
+    ship(detections.sparkSession)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf.sort_values("rank")
-        done = unite([Shape([(r.x0, r.y0, r.x1, r.y1)], [r.confidence]) for r in rows.itertuples()], threshold)
-        return pd.DataFrame([(pdf.filename.iloc[0], k, sum(s.confidences) / len(s.confidences), len(s.confidences), s.x0, s.y0, s.x1, s.y1) for k, s in enumerate(done)], columns=["filename", "ordinal", "confidence", "n_members", *BOX])
+        done = unite([Shape([box], [c], r) for box, c, r in zip(rows[list(BOX)].itertuples(index=False, name=None), rows["confidence"], rows["rank"])], threshold)
+        return pd.DataFrame([(pdf["filename"].iloc[0], s.first, sum(s.confidences) / len(s.confidences), len(s.confidences), s.x0, s.y0, s.x1, s.y1) for s in done], columns=["filename", "ordinal", "confidence", "n_members", *BOX])
 
-    return detections.groupBy("filename").applyInPandas(one, "filename string, ordinal long, confidence double, n_members long, x0 double, y0 double, x1 double, y1 double")
+    return parted(detections).groupBy("filename", "part").applyInPandas(one, "filename string, ordinal long, confidence double, n_members long, x0 double, y0 double, x1 double, y1 double")
 
 
 def merged(detections: DataFrame, nms: float = 0.05, merge: float = 0.3, post: float = 0.1) -> DataFrame:

@@ -70,3 +70,36 @@ def preprocessed_score(meta: DataFrame) -> DataFrame:
     crs = F.when(F.col("geographic"), 1).when(F.col("geographic").isNull(), 0).otherwise(-1)
     kind = F.when(F.col("dtype").contains("int"), 2).when((F.col("vmin") >= 0) & (F.col("vmax") <= 255.1), 1).when((F.col("vmax") > 1000) | (F.col("vmin") < -1000), -1).otherwise(0)
     return meta.withColumn("score", F.when(F.coalesce(marked, F.lit(False)), 10).otherwise(tags + packed + tiled + cog + crs + kind).cast("int"))
+
+
+def preprocessed_files(headers: DataFrame, strict: bool = False) -> DataFrame:
+    """``headers`` (``raster.profiles``) with ``score`` and ``preprocessed``; a file that cannot be read has no score and is not.
+    With ``strict`` a file that is not preprocessed raises."""
+    out = preprocessed_score(headers.withColumn("tags", F.coalesce("tags", F.create_map().cast("map<string,string>")))).withColumn("score", F.when(F.col("error").isNull(), F.col("score")))
+    good = F.coalesce(F.col("score") > 0, F.lit(False))
+    if strict:
+        good = F.when(good, True).otherwise(F.raise_error(F.concat(F.col("path"), F.lit(": "), F.coalesce("error", F.lit("not preprocessed")))).cast("boolean"))
+    return out.withColumn("preprocessed", good)
+
+
+def found_and_new(requests: DataFrame, jobs: DataFrame, wanted: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The granules that have a usable job, with it, and those that have none."""
+    matched = first_match(requests, jobs, wanted)
+    return matched.where("job_id is not null"), matched.where("job_id is null").select("granule", job_name(F.col("granule")).alias("job_name"))
+
+
+def account(jobs: DataFrame, credits: float | None) -> DataFrame:
+    """One row: all jobs, what they cost, and the credits that remain (null if the service does not say)."""
+    return jobs.agg(F.count(F.lit(1)).alias("n_jobs"), F.sum("cost").alias("cost")).withColumn("credits", F.lit(credits).cast("double"))
+
+
+def first_raster(files: DataFrame) -> DataFrame:
+    """The first raster of each granule among its files (granule, path, ordinal)."""
+    return files.where(F.lower("path").endswith(".tif")).groupBy("granule").agg(F.min_by("path", "ordinal").alias("path"))
+
+
+def default_parameters() -> Column:
+    """The settings of a job that nobody gave any, as a map of texts."""
+    from tilescan.config import JOB_PARAMETERS
+
+    return F.create_map(*(F.lit(x if isinstance(x, str) else str(x).lower()) for pair in JOB_PARAMETERS.items() for x in pair))

@@ -28,19 +28,44 @@ def _columns(pixels: DataFrame, n: int) -> DataFrame:
     return pixels.withColumn("masked", F.max("across").over(column)).drop("across")
 
 
-def scene_percentiles(pixels: DataFrame, ps: list[float], value: str = "dn", exact: bool = True) -> DataFrame:
-    """(scene_id, p: array of the percentiles, in 0 to 100).  ``exact`` keeps distinct values of a scene; else a sketch."""
-    points = F.array(*(F.lit(p / 100) for p in ps))
-    agg = F.percentile(F.col(value).cast("double"), points) if exact else F.percentile_approx(F.col(value).cast("double"), points, F.lit(100_000))
-    return pixels.groupBy("scene_id").agg(agg.alias("p"))
+def scene_percentiles(pixels: DataFrame, ps: list[float], value: str = "dn", accuracy: int = 10_000) -> DataFrame:
+    """(scene_id, p: array of the exact percentiles, in 0 to 100, between neighbours by distance; nulls do not count).
+
+    Two passes, as a scene has some hundred million pixels: a sketch whose ranks are right to n / ``accuracy`` brackets each
+    percentile; the values within a bracket are counted by value, those below it as a number, and the neighbours are picked
+    by their running count.  What one task holds is a sketch, or the distinct values of a bracket.
+    """
+    x = F.col(value).cast("double")
+    points = sorted({min(1.0, max(0.0, p / 100 + d)) for p in ps for d in (-2 / accuracy, 2 / accuracy)} | {0.0, 1.0})
+    at = {q: k for k, q in enumerate(points)}
+    sketch = pixels.where(x.isNotNull()).groupBy("scene_id").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, points, F.lit(accuracy)).alias("q"), F.min(x).alias("least"), F.max(x).alias("most"))
+
+    def edge(p: float, side: int) -> Column:
+        q, end = p / 100 + side * 2 / accuracy, F.col("least") if side < 0 else F.col("most")
+        # of few values all are counted, as the sketch's margin would be less than a rank
+        return end if not 0 < q < 1 else F.when(F.col("n") <= 10 * accuracy, end).otherwise(F.col("q")[at[q]])
+
+    place = lambda p: (F.col("n") - 1) * F.lit(p / 100)
+    brackets = sketch.select("scene_id", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), place(p).alias("place"), edge(p, -1).alias("lo"), edge(p, 1).alias("hi")) for k, p in enumerate(ps)))).alias("e")).select("scene_id", "e.*")
+    by_scene = brackets.groupBy("scene_id").agg(F.collect_list(F.struct("k", "place", "lo", "hi")).alias("e"))  # len(ps) each
+    met = pixels.where(x.isNotNull()).select("scene_id", x.alias("x")).join(by_scene, "scene_id").select("scene_id", "x", F.explode("e").alias("e")).where("x <= e.hi")
+    counts = met.groupBy("scene_id", "e.k", "e.place", F.when(F.col("x") >= F.col("e.lo"), F.col("x")).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy("scene_id", "k").orderBy(F.col("x").asc_nulls_first())))
+    pick = lambda rank: F.min(F.when(F.col("x").isNotNull() & (F.col("upto") > rank), F.col("x")))
+    low, high = F.floor("place"), F.ceil("place")
+    picked = upto.groupBy("scene_id", "k", "place").agg(pick(low).alias("a"), pick(high).alias("b"), F.max(F.when(F.col("x").isNull(), F.col("n"))).alias("below"))
+    sure = F.when((F.coalesce("below", F.lit(0)) <= low) & F.col("b").isNotNull(), F.col("a") + (F.col("place") - low) * (F.col("b") - F.col("a"))).otherwise(F.raise_error(F.lit("the sketch did not bracket a percentile")).cast("double"))
+    found = picked.select("scene_id", F.struct("k", sure.alias("v")).alias("e")).groupBy("scene_id").agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["v"]).alias("p"))
+    return found
 
 
 def _with(pixels: DataFrame, stats: DataFrame) -> DataFrame:
-    return pixels.join(stats, "scene_id")
+    """``pixels`` with the figures of their scene (null where it has none)."""
+    return pixels.join(stats, "scene_id", "left")
 
 
-def percentile_clipped(pixels: DataFrame, low: float = 0.0, high: float = 99.9, **how: bool) -> DataFrame:
-    joined = _with(pixels, scene_percentiles(pixels, [low, high], **how))
+def percentile_clipped(pixels: DataFrame, low: float = 0.0, high: float = 99.9) -> DataFrame:
+    joined = _with(pixels, scene_percentiles(pixels, [low, high]))
     return joined.withColumn("dn", P.clipped(F.col("dn").cast("double"), F.col("p")[0], F.col("p")[1])).drop("p")
 
 
@@ -126,8 +151,15 @@ def resized(tiled: DataFrame, side: int, to: int) -> DataFrame:
 
 
 def rectangles_masked(pixels: DataFrame, land: DataFrame) -> DataFrame:
-    """Pixels whose centre lies in a rectangle (scene_id, x0, y0, x1, y1 in pixels) become nodata.  ``land`` is small: its
-    rectangles go to their scene as one array."""
-    per = land.groupBy("scene_id").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("rects"))
-    hit = F.exists("rects", lambda q: (F.col("c") + 0.5 >= q["x0"]) & (F.col("c") + 0.5 < q["x1"]) & (F.col("r") + 0.5 >= q["y0"]) & (F.col("r") + 0.5 < q["y1"]))
-    return pixels.join(per, "scene_id", "left").withColumn("dn", F.when(F.coalesce(hit, F.lit(False)), F.lit(None)).otherwise(F.col("dn"))).drop("rects")
+    """Pixels whose centre lies in a rectangle (scene_id, x0, y0, x1, y1 in pixels) become nodata.  Rectangles become spans of
+    rows, which meet pixels by equality of scene and row."""
+    first, last = F.ceil(F.col("y0") - 0.5).cast("int"), (F.ceil(F.col("y1") - 0.5) - 1).cast("int")
+    lines = land.where(first <= last).select("scene_id", F.explode(F.sequence(first, last)).alias("r"), F.struct(F.col("x0").alias("from"), F.col("x1").alias("to")).alias("span"))
+    return hidden(pixels, lines.groupBy("scene_id", "r").agg(F.collect_list("span").alias("spans")))
+
+
+def hidden(pixels: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pixels whose centre lies in a span (scene_id, r, spans: array of from, to) become nodata."""
+    x = F.col("c") + F.lit(0.5)
+    inside = F.exists("spans", lambda s: (x >= s["from"]) & (x < s["to"]))
+    return pixels.join(rows, ["scene_id", "r"], "left").withColumn("dn", F.when(~F.coalesce(inside, F.lit(False)), F.col("dn"))).select(*pixels.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilescan.operators.pixels import hidden
+
 
 def spans(edges: DataFrame) -> DataFrame:
     """scene_id, r, spans (array of from, to): where row r's centre line runs inside a polygon, by the even-odd rule.
@@ -45,13 +47,10 @@ def crossed(edges: DataFrame) -> DataFrame:
 def polygons_masked(pixels: DataFrame, edges: DataFrame, all_touched: bool = False) -> DataFrame:
     """Pixels (scene_id, r, c, dn) whose centre lies in a polygon become nodata, with ``all_touched`` also those through
     which a side runs; without polygons nothing changes."""
-    x = F.col("c") + F.lit(0.5)
-    inside = F.exists("spans", lambda s: (x >= s["from"]) & (x < s["to"]))
     rows = spans(edges)
     if all_touched:
         rows = rows.unionByName(crossed(edges)).groupBy("scene_id", "r").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    joined = pixels.join(rows, ["scene_id", "r"], "left")
-    return joined.withColumn("dn", F.when(~F.coalesce(inside, F.lit(False)), F.col("dn"))).select(*pixels.columns)
+    return hidden(pixels, rows)
 
 
 def sides(rings: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilescan.functions.pixels import argmax, softmax
+from tilescan.functions.workers import ship
 
 
 class Detector(Protocol):
@@ -50,8 +51,12 @@ class LinearDetector:
         return e / e.sum(1, keepdims=True)
 
 
-def inferred(tiles: DataFrame, model: Detector, batch: int = 128) -> DataFrame:
-    """(id, prediction, confidence, error) of tiles (id, image), in batches; a batch that fails is reported, not dropped."""
+def inferred(tiles: DataFrame, model: Detector, batch: int = 128, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, columns of ``keep``, prediction, confidence, error) of tiles (id, image), in batches; a batch that fails is
+    reported, not dropped."""
+    ship(tiles.sparkSession)
+    kept = ["id", *keep]
+    schema = ", ".join([*(f"`{c}` {tiles.schema[c].dataType.simpleString() if c != 'id' else 'bigint'}" for c in kept), "prediction int, confidence double, error string"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -60,11 +65,16 @@ def inferred(tiles: DataFrame, model: Detector, batch: int = 128) -> DataFrame:
                 try:
                     p = model.probabilities(np.stack(part["image"].to_numpy()))
                     best = p.argmax(1)
-                    yield pd.DataFrame({"id": part["id"], "prediction": best, "confidence": p[np.arange(len(p)), best], "error": None})
+                    yield part[kept].assign(prediction=best, confidence=p[np.arange(len(p)), best], error=None)
                 except Exception as failure:  # noqa: BLE001
-                    yield pd.DataFrame({"id": part["id"], "prediction": None, "confidence": None, "error": str(failure)})
+                    yield part[kept].assign(prediction=None, confidence=None, error=str(failure))
 
-    return tiles.select("id", "image").mapInPandas(run, "id long, prediction int, confidence double, error string")
+    return tiles.select(*kept, "image").mapInPandas(run, schema)
+
+
+def passed(scored: DataFrame, classes: list[int]) -> DataFrame:
+    """The rows whose prediction is among ``classes``: a first detector's choice of what a second one looks at.  An extension."""
+    return scored.where(F.col("prediction").isin(list(classes)))
 
 
 def predicted(logits: DataFrame) -> DataFrame:
@@ -74,8 +84,12 @@ def predicted(logits: DataFrame) -> DataFrame:
 
 
 def positives(scored: DataFrame, positive: int) -> DataFrame:
-    path = F.coalesce("path", F.lit("unknown_file"))
-    return scored.where(F.col("prediction") == positive).withColumn("filename", F.element_at(F.split(path, "/"), -1))
+    """The rows of class ``positive`` with ``filename``, the base name of ``path``; a row without a path is of ``unknown_file``,
+    and one without a box, if there is such a column, has zeros for one."""
+    out = scored.where(F.col("prediction") == positive).withColumn("filename", F.element_at(F.split(F.coalesce("path", F.lit("unknown_file")), "/"), -1))
+    if "bbox_geo" in scored.columns:
+        out = out.withColumn("bbox_geo", F.coalesce("bbox_geo", F.array(*[F.lit(0.0).cast("float")] * 4)))
+    return out
 
 
 def matched_weights(stored: DataFrame, wanted: DataFrame) -> DataFrame:

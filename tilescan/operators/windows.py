@@ -56,23 +56,73 @@ def geo_boxes(windows: DataFrame, transform: list[float], win: int) -> DataFrame
     )
 
 
+def geo_boxes_of(windows: DataFrame, win: int) -> DataFrame:
+    """``bbox``, ``bbox_geo`` and the window's ``transform`` for windows with the scene's ``transform`` and ``epsg``.  Of the
+    bounds in the scene's projection the corners (left, bottom) and (right, top) alone are brought to longitude and latitude."""
+    from tilescan.operators.land import to_lonlat
+
+    t = lambda k: F.col("transform")[k]
+    col, row = F.col("col_off"), F.col("row_off")
+    left, top = t(2) + t(0) * col, t(5) + t(4) * row
+    (lon0, lat0), (lon1, lat1) = to_lonlat(F.col("epsg"), left, top + t(4) * win), to_lonlat(F.col("epsg"), left + t(0) * win, top)
+    own = F.array(t(0), t(1), t(2) + t(0) * col + t(1) * row, t(3), t(4), t(5) + t(3) * col + t(4) * row)
+    placed = windows.withColumn("bbox", F.array("col_off", "row_off", F.col("col_off") + win, F.col("row_off") + win))
+    return placed.withColumn("bbox_geo", F.array(*(x.cast("float") for x in (lon0, lat0, lon1, lat1)))).withColumn("transform", own)
+
+
+def varied(kept: DataFrame, pixels: DataFrame, win: int, stride: int, least: float) -> DataFrame:
+    """Of the windows ``kept`` those whose valid pixels have a variance of ``least`` or more.  An extension; sums of cells as in
+    ``nodata_counts``."""
+    g = gcd(win, stride)
+    n, step = win // g, stride // g
+    x = F.col("dn").cast("double")
+    cells = pixels.groupBy("scene_id", F.expr(f"r div {g}").alias("gr"), F.expr(f"c div {g}").alias("gc")).agg(F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q"))
+    start = lambda c: F.sequence(F.greatest(F.lit(0), F.ceil((F.col(c) - n + 1) / step)).cast("long"), F.floor(F.col(c) / step).cast("long"))
+    some = (F.ceil((F.col("gr") - n + 1) / step) <= F.floor(F.col("gr") / step)) & (F.ceil((F.col("gc") - n + 1) / step) <= F.floor(F.col("gc") / step))
+    dealt = cells.where(some).withColumn("wr", F.explode(start("gr"))).withColumn("wc", F.explode(start("gc")))
+    sums = dealt.groupBy("scene_id", (F.col("wr") * stride).cast("int").alias("row_off"), (F.col("wc") * stride).cast("int").alias("col_off")).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+    good = sums.where((F.col("n") > 0) & (F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n")) >= least))
+    return kept.join(good.select("scene_id", "row_off", "col_off"), ["scene_id", "row_off", "col_off"], "left_semi")
+
+
 def _grown(start: Column, end: Column, least: int, size: Column) -> tuple[Column, Column]:
-    extra = F.greatest(F.lit(0), F.lit(least) - (end - start))
-    low = F.greatest(F.lit(0), start - F.floor(extra / 2))
-    return low, F.least(size, end + (extra - F.floor(extra / 2)))
+    """[start, end) as it is if it has ``least`` pixels; else moved back by half of what lacks, and then of ``least`` pixels,
+    of which the last lies within ``size``: a full patch wherever the scene has one."""
+    short = F.lit(float(least)) - (end - start)
+    low = F.greatest(F.lit(0.0), start - F.floor(short / 2))
+    high = F.least(size, low + least)
+    return F.when(short > 0, F.greatest(F.lit(0.0), high - least)).otherwise(start), F.when(short > 0, high).otherwise(end)
 
 
 def preview_windows(boxes: DataFrame, transform: list[float], buffer: int = 32, patch: int = 128) -> DataFrame:
-    """Pixel windows of lon/lat boxes (x0..y1, width and height of the scene): rounded, widened by ``buffer``, cut to the
-    scene, grown to ``patch``.  The offset is clamped at 0 while the size is not, so windows at the upper left reach further."""
-    a, _, c, _, e, f = transform
-    x0, x1 = F.least("x0", "x1"), F.greatest("x0", "x1")
-    y0, y1 = F.least("y0", "y1"), F.greatest("y0", "y1")
-    col, row = F.rint((x0 - c) / a), F.rint((y1 - f) / e)
-    w, h = F.rint((x1 - x0) / a), F.rint((y0 - y1) / e)
-    left, top = F.greatest(F.lit(0.0), col - buffer), F.greatest(F.lit(0.0), row - buffer)
-    right, bottom = F.least(F.col("width").cast("double"), left + w + 2 * buffer), F.least(F.col("height").cast("double"), top + h + 2 * buffer)
-    c0, c1 = _grown(left, right, patch, F.col("width").cast("double"))
-    r0, r1 = _grown(top, bottom, patch, F.col("height").cast("double"))
-    cut = boxes.where((right > left) & (bottom > top))
-    return cut.select("*", *(v.cast("long").alias(n) for v, n in ((c0, "col_off"), (r0, "row_off"), (c1 - c0, "win_w"), (r1 - r0, "win_h"))))
+    """``preview_windows_of`` for scenes of one transform (width and height are columns), in longitude and latitude."""
+    with_transform = boxes.withColumn("transform", F.array(*(F.lit(float(x)) for x in transform))).withColumn("epsg", F.lit(None).cast("int"))
+    return preview_windows_of(with_transform, buffer, patch).drop("transform", "epsg")
+
+
+def preview_windows_of(boxes: DataFrame, buffer: int = 32, patch: int = 128) -> DataFrame:
+    """Pixel windows (col_off, row_off, win_w, win_h) of lon/lat boxes (x0..y1, and the scene's width, height, transform, epsg).
+
+    Corners are put in order and brought to the scene's projection by their corners' bounds; offsets are rounded down (within
+    a tenth of a pixel up) and sizes to the nearest, as the customary raster library does; then windows are widened by
+    ``buffer``, cut to the scene, and grown to ``patch``.  The offset is clamped at 0 while the size is not, so windows at the
+    upper left reach further.  Boxes outside the scene have no row."""
+    from tilescan.operators.land import from_lonlat
+
+    def within(df: DataFrame, **columns: Column) -> DataFrame:
+        return df.select("*", *(c.alias(f"__{n}") for n, c in columns.items()))
+
+    c = lambda name: F.col(f"__{name}")
+    t = lambda k: F.col("transform")[k]
+    size = {"x": F.col("width").cast("double"), "y": F.col("height").cast("double")}
+    # each step has names of its own, so that no expression is written out where it is used
+    out = within(boxes, west=F.least("x0", "x1"), east=F.greatest("x0", "x1"), south=F.least("y0", "y1"), north=F.greatest("y0", "y1"))
+    corners = F.array(*(F.struct(c(u).alias("lon"), c(v).alias("lat")) for u in ("west", "east") for v in ("south", "north")))
+    placed = F.transform(corners, lambda p: F.struct(*(v.alias(n) for n, v in zip("xy", from_lonlat(F.col("epsg"), p["lon"], p["lat"])))))
+    out = within(within(out, p=placed), **{f"{a}{k}": f(c("p")[a]) for a in "xy" for k, f in ((0, F.array_min), (1, F.array_max))})
+    out = within(out, ox=F.floor((c("x0") - t(2)) / t(0) + 0.1).cast("double"), oy=F.floor((c("y1") - t(5)) / t(4) + 0.1).cast("double"), wx=F.floor((c("x1") - c("x0")) / t(0) + 0.5), wy=F.floor((c("y0") - c("y1")) / t(4) + 0.5))
+    out = within(out, **{f"a{k}": F.greatest(F.lit(0.0), c(f"o{k}") - buffer) for k in "xy"})
+    out = within(out, **{f"b{k}": F.least(size[k], c(f"a{k}") + c(f"w{k}") + 2 * buffer) for k in "xy"}).where((c("bx") > c("ax")) & (c("by") > c("ay")))
+    grown = {k: _grown(c(f"a{k}"), c(f"b{k}"), patch, size[k]) for k in "xy"}
+    out = within(out, **{f"{n}{k}": grown[k][i] for k in "xy" for i, n in enumerate("se")})
+    return out.select(*boxes.columns, *(v.cast("long").alias(n) for n, v in (("col_off", c("sx")), ("row_off", c("sy")), ("win_w", c("ex") - c("sx")), ("win_h", c("ey") - c("sy")))))

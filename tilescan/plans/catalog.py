@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tilescan.functions import geometry as G
 from tilescan.functions import pixels as P
-from tilescan.operators import boxes, jobs, pixels, polygons, scoring, windows
+from tilescan.operators import boxes, frames, jobs, land, pixels, polygons, previews, scoring, transforms, windows
+from tilescan.sources import raster
 from tilescan.sources.fixtures import sql_view, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +20,7 @@ _sql: dict[str, str] = {}
 # fixed values: the sample scene's size and georeference
 SCENE = {"width": 11326, "height": 7975}
 TRANSFORM = [0.000269494585235856, 0.0, -118.79701057395, 0.0, -0.000269494585235856, 34.1688213687152]
-WIN, STRIDE = 16, 4
+SIDE, WIN, STRIDE = 32, 16, 4
 WANTED = {"dem_name": "1-URGENT"}
 
 
@@ -127,7 +128,8 @@ def merge_three_stage(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def merge_three_stage_wide(spark: SparkSession, d: str) -> DataFrame:
-    """Thresholds at which all three stages act."""
+    """Thresholds at which all three stages act.  Growing unions have no SQL; the tests hold them against areas counted on a
+    fine grid, and against the figures of the sample scene."""
     return boxes.merged(view(spark, d, "detections"), 0.5, 0.3, 0.1)
 
 
@@ -136,46 +138,49 @@ def crop_names(spark: SparkSession, d: str) -> DataFrame:
     return boxes.crop_names(boxes.scene_windows(view(spark, d, "detections")), F.col("i")).select("ordinal", "filename", "crop")
 
 
-def scene_table(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.col("id").alias("scene_id"), F.lit(SCENE["height"]).alias("height"), F.lit(SCENE["width"]).alias("width"))
+GRID = "g as (select s.scene_id, r.v::int as row_off, c.v::int as col_off, (r.v // 175 * ((s.width - 700) // 175 + 1) + c.v // 175)::bigint as i from scenes s, unnest(range(0, s.height - 699, 175)) as r(v), unnest(range(0, s.width - 699, 175)) as c(v))"
 
 
-GRID_SQL = f"""select 0::bigint as scene_id, r.v::int as row_off, c.v::int as col_off, (r.v / 175 * 61 + c.v / 175)::bigint as i
-from (select unnest(range(0, {SCENE["height"] - 700 + 1}, 175)) as v) r, (select unnest(range(0, {SCENE["width"] - 700 + 1}, 175)) as v) c"""
-
-
-@query(GRID_SQL)
+@query(f"with {GRID} select * from g", "scenes")
 def window_grid(spark: SparkSession, d: str) -> DataFrame:
-    return windows.grid(scene_table(spark), 700, 175)
+    return windows.grid(view(spark, d, "scenes"), 700, 175)
 
 
 @query(
-    f"""with g as ({GRID_SQL}) select scene_id, i, row_off, col_off,
-    round(({TRANSFORM[2]}::double + {TRANSFORM[0]}::double * col_off)::float::double, 4) as lon_min, round(({TRANSFORM[5]}::double - {TRANSFORM[0]}::double * row_off)::float::double, 4) as lat_max,
-    round({TRANSFORM[2]}::double + {TRANSFORM[0]}::double * col_off, 6) as origin_x, round({TRANSFORM[5]}::double - {TRANSFORM[0]}::double * row_off, 6) as origin_y from g"""
+    f"""with {GRID}, b as (select *, {TRANSFORM[2]}::double + {TRANSFORM[0]}::double * col_off as x, {TRANSFORM[5]}::double - {TRANSFORM[0]}::double * row_off as y from g)
+    select scene_id, i, row_off, col_off, col_off as c0, row_off as r0, col_off + 700 as c1, row_off + 700 as r1, round(x::float::double, 4) as lon_min, round((y - {TRANSFORM[0]}::double * 700)::float::double, 4) as lat_min,
+    round((x + {TRANSFORM[0]}::double * 700)::float::double, 4) as lon_max, round(y::float::double, 4) as lat_max, round(x, 6) as origin_x, round(y, 6) as origin_y, round({TRANSFORM[0]}::double, 12) as pixel from b""",
+    "scenes",
 )
 def window_geo_bbox(spark: SparkSession, d: str) -> DataFrame:
-    g = windows.geo_boxes(windows.grid(scene_table(spark), 700, 175), TRANSFORM, 700)
-    return g.select("scene_id", "i", "row_off", "col_off", F.round(F.col("bbox_geo")[0].cast("double"), 4).alias("lon_min"), F.round(F.col("bbox_geo")[3].cast("double"), 4).alias("lat_max"), r6(F.col("transform")[2]).alias("origin_x"), r6(F.col("transform")[5]).alias("origin_y"))
+    """Pixel box, all four sides in degrees, and the transform of every window."""
+    g = windows.geo_boxes(windows.grid(view(spark, d, "scenes"), 700, 175), TRANSFORM, 700)
+    sides = [F.round(F.col("bbox_geo")[k].cast("double"), 4).alias(n) for k, n in enumerate(("lon_min", "lat_min", "lon_max", "lat_max"))]
+    return g.select("scene_id", "i", "row_off", "col_off", *(F.col("bbox")[k].alias(n) for k, n in enumerate(("c0", "r0", "c1", "r1"))), *sides, r6(F.col("transform")[2]).alias("origin_x"), r6(F.col("transform")[5]).alias("origin_y"), F.round(F.col("transform")[0], 12).alias("pixel"))
+
+
+@query(f"with {GRID} select scene_id, row_off, col_off, row_number() over (order by scene_id, row_off, col_off) - 1 as n, concat(scene_id, '_win', row_number() over (order by scene_id, row_off, col_off) - 1) as name from g", "scenes")
+def window_names(spark: SparkSession, d: str) -> DataFrame:
+    return raster.numbered(windows.grid(view(spark, d, "scenes"), 700, 175)).select("scene_id", "row_off", "col_off", "n", "name")
 
 
 @query(
     f"""with w as (select s.scene_id, a.v as row_off, b.v as col_off from (select distinct scene_id from pixels) s,
-      (select unnest(range(0, {64 - WIN + 1}, {STRIDE})) as v) a, (select unnest(range(0, {64 - WIN + 1}, {STRIDE})) as v) b),
+      (select unnest(range(0, {SIDE - WIN + 1}, {STRIDE})) as v) a, (select unnest(range(0, {SIDE - WIN + 1}, {STRIDE})) as v) b),
     n as (select w.scene_id, row_off, col_off, {WIN * WIN} - sum(case when p.nodata = 0 then 1 else 0 end) as n_nodata from w left join pixels p
       on p.scene_id = w.scene_id and p.r >= row_off and p.r < row_off + {WIN} and p.c >= col_off and p.c < col_off + {WIN} group by all)
-    select scene_id, row_off::int as row_off, col_off::int as col_off, (row_off / {STRIDE} * {(64 - WIN) // STRIDE + 1} + col_off / {STRIDE})::bigint as i, n_nodata::bigint as n_nodata from n where n_nodata < 0.25 * {WIN * WIN}""",
+    select scene_id, row_off::int as row_off, col_off::int as col_off, (row_off / {STRIDE} * {(SIDE - WIN) // STRIDE + 1} + col_off / {STRIDE})::bigint as i, n_nodata::bigint as n_nodata from n where n_nodata < 0.35 * {WIN * WIN}""",
     "pixels",
 )
 def window_nodata_filter(spark: SparkSession, d: str) -> DataFrame:
     px = view(spark, d, "pixels")
-    scenes = px.select("scene_id").distinct().withColumn("height", F.lit(64)).withColumn("width", F.lit(64))
-    return windows.mostly_valid(windows.nodata_counts(px, scenes, WIN, STRIDE), WIN, 0.25)
+    scenes = px.select("scene_id").distinct().withColumn("height", F.lit(SIDE)).withColumn("width", F.lit(SIDE))
+    return windows.mostly_valid(windows.nodata_counts(px, scenes, WIN, STRIDE), WIN, 0.35)
 
 
-@query("select scene_id, case when coalesce(bool_or(r < 32 and c < 32 and dn - 200000 < -9000), false) then -9999.0 else 0.0 end::double as nodata from pixels group by scene_id", "pixels")
+@query("select scene_id, case when coalesce(bool_or(r < 16 and c < 16 and dn - 200000 < -9000), false) then -9999.0 else 0.0 end::double as nodata from pixels group by scene_id", "pixels")
 def nodata_detect(spark: SparkSession, d: str) -> DataFrame:
-    return pixels.nodata_value(view(spark, d, "pixels").withColumn("dn", F.col("dn") - 200000), 32)
+    return pixels.nodata_value(view(spark, d, "pixels").withColumn("dn", F.col("dn") - 200000), 16)
 
 
 @query(
@@ -272,6 +277,48 @@ def tile_boost(spark: SparkSession, d: str) -> DataFrame:
     return t.select("scene_id", F.col("tr").cast("long").alias("tr"), F.col("tc").cast("long").alias("tc"), r6(F.aggregate("t", F.lit(0.0), lambda s, x: s + x)).alias("total"))
 
 
+@query(f"with {TILES}, k as (select scene_id, tr, tc, count(*) as here, bool_and(v is not null) as whole, sum(case when hi > lo then (v - lo) / (hi - lo) else v end) as s from t group by 1, 2, 3) select scene_id, tr::bigint as tr, tc::bigint as tc, round(case when whole and here = 64 then s else 0 end, 6) as total from k", "pixels")
+def tile_minmax_propagated(spark: SparkSession, d: str) -> DataFrame:
+    """The other policy: a tile with one missing pixel is all zeros."""
+    t = pixels.tiles(masked(spark, d), 8).withColumn("t", P.filled(P.tile_normalised(F.col("tile"))))
+    return t.select("scene_id", F.col("tr").cast("long").alias("tr"), F.col("tc").cast("long").alias("tc"), r6(F.aggregate("t", F.lit(0.0), lambda s, x: s + x)).alias("total"))
+
+
+@query(f"with {MASKED}, t as (select scene_id, r // 8 as tr, c // 8 as tc, case when (r // 8 + c // 8) % 3 = 0 then 0 else dn end as v, dn is null as gone from m) select scene_id, tr::bigint as tr, tc::bigint as tc, count(*) = 64 and bool_and(not gone and v = 0) as all_zero, bool_or(not gone and v = 0) as some_zero from t group by 1, 2, 3", "pixels")
+def zero_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Tiles that are zero everywhere, and anywhere; nodata is not zero."""
+    blank = masked(spark, d).withColumn("dn", F.when(F.col("dn").isNotNull(), F.when((F.expr("r div 8") + F.expr("c div 8")) % 3 == 0, 0).otherwise(F.col("dn"))))
+    t = raster.zero_images(pixels.tiles(blank, 8).withColumnRenamed("tile", "image"))
+    return t.select("scene_id", F.col("tr").cast("long").alias("tr"), F.col("tc").cast("long").alias("tc"), "all_zero", F.exists("image", lambda x: F.coalesce(x == 0, F.lit(False))).alias("some_zero"))
+
+
+@query(
+    f"""with {TILES}, k as (select a.v as i, b.v as j from (select unnest(range(5)) as v) a, (select unnest(range(5)) as v) b),
+    g as (select distinct scene_id, tr, tc from t), s as (select g.scene_id, g.tr, g.tc, (t.v / 1e4 - 2.341661e-09) / (1123.6694 - 2.341661e-09) as v from g cross join k left join t on t.scene_id = g.scene_id and t.r = g.tr * 8 + i * 8 // 5 and t.c = g.tc * 8 + j * 8 // 5),
+    n as (select *, min(v) over w as lo, max(v) over w as hi from s window w as (partition by scene_id, tr, tc)), u as (select scene_id, tr, tc, case when v is null then 0 when hi > lo then (v - lo) / (hi - lo) else v end as u from n)
+    select scene_id, tr::bigint as tr, tc::bigint as tc, round(sum(u) * case when sum(u) / 25 < 1e-5 then 10 else 1 end, 6) as total from u group by 1, 2, 3""",
+    "pixels",
+)
+def contrastive_transform(spark: SparkSession, d: str) -> DataFrame:
+    """Resize, global range, own range, boost, zeros for nodata."""
+    t = transforms.contrastive_input(pixels.tiles(masked(spark, d), 8), 8, 5, nan_policy="ignore")
+    return t.select("scene_id", F.col("tr").cast("long").alias("tr"), F.col("tc").cast("long").alias("tc"), r6(F.aggregate("tile", F.lit(0.0), lambda s, x: s + x)).alias("total"))
+
+
+@query(
+    f"""with {MASKED}, q as (select scene_id, r // 8 as tr, c // 8 as tc, min(dn)::double as lo, quantile_cont(dn::double, 0.99) as hi, count(dn) as n from m group by 1, 2, 3),
+    k as (select a.v as i, b.v as j from (select unnest(range(5)) as v) a, (select unnest(range(5)) as v) b),
+    x as (select q.*, m.dn, case when n = 0 then 0 when lo = hi then 128 when dn is null then 0 else floor((least(dn::double, hi) - lo) / (hi - lo) * 254 + 1) end as b from q cross join k left join m on m.scene_id = q.scene_id and m.r = tr * 8 + i * 8 // 5 and m.c = tc * 8 + j * 8 // 5),
+    y as (select scene_id, tr, tc, count(*) filter (dn is null) as n_masked, sum(case when dn is null then -5.0 else (b / 255.0::double - 0.5) / 0.25 end) + sum(case when dn is null then -5.0 else (b / 255.0::double - 0.25) / 0.5 end) as s from x group by 1, 2, 3)
+    select scene_id, tr::bigint as tr, tc::bigint as tc, (2 * n_masked)::bigint as n_masked, round(s, 6) as total from y""",
+    "pixels",
+)
+def feature_transform(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes, equal channels, resize, standardisation, and nodata put back by its own resized mask."""
+    t = transforms.feature_input(pixels.tiles(masked(spark, d), 8), 8, 5, -5.0, [0.5, 0.25], [0.25, 0.5])
+    return t.select("scene_id", F.col("tr").cast("long").alias("tr"), F.col("tc").cast("long").alias("tc"), F.size(F.filter("tile", lambda x: x == -5.0)).cast("long").alias("n_masked"), r6(F.aggregate("tile", F.lit(0.0), lambda s, x: s + x)).alias("total"))
+
+
 @query(f"with {MASKED} select scene_id, r, c, round((dn / 1e4 - 2.341661e-09) / (1123.6694 - 2.341661e-09), 6) as dn from m", "pixels")
 def global_minmax(spark: SparkSession, d: str) -> DataFrame:
     return masked(spark, d).select("scene_id", "r", "c", r6(P.global_normalised(F.col("dn") / F.lit(1e4))).alias("dn"))
@@ -320,11 +367,78 @@ def job_status_counts(spark: SparkSession, d: str) -> DataFrame:
     return jobs.status_counts(view(spark, d, "jobs")).withColumn("cost", F.round("cost", 2))
 
 
-@query("select p_partkey as id, case p_size % 3 when 0 then 60.0 when 1 then 15.0 end::double as cost from part")
+@query("select c.res::int as resolution, case c.res when 10 then 60.0 when 20 then 15.0 end::double as cost, n from (select unnest([10, 20, 30]) as res) c join (select p_size % 3 * 10 + 10 as res, count(*) as n from part group by 1) p on p.res = c.res")
 def job_cost(spark: SparkSession, d: str) -> DataFrame:
-    table = F.create_map(F.lit("10"), F.lit(60.0), F.lit("20"), F.lit(15.0))
-    res = F.element_at(F.array(F.lit(10), F.lit(20), F.lit(30)), (F.col("p_size") % 3 + 1).cast("int"))
-    return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), F.try_element_at(table, res.cast("string")).alias("cost"))
+    """The cost of each resolution that is asked for; null where the table has none."""
+    costs = spark.range(1).select(F.lit("RTC_GAMMA").alias("job_type"), F.create_map(F.lit("10"), F.lit(60.0), F.lit("20"), F.lit(15.0)).alias("cost_table"))
+    asked = spark.read.parquet(f"{d}/part.parquet").groupBy((F.col("p_size") % 3 * 10 + 10).cast("int").alias("resolution")).agg(F.count(F.lit(1)).alias("n"))
+    looked = [jobs.cost_of(costs, "RTC_GAMMA", r).select(F.lit(r).alias("resolution"), "cost") for r in (10, 20, 30)]
+    return asked.join(looked[0].unionByName(looked[1]).unionByName(looked[2]), "resolution").select("resolution", "cost", "n")
+
+
+@query(f"{FIRST} select granule, job_id, case when job_id is null then concat('RTC_', right(granule, 8)) end as job_name from f", "jobs")
+def job_found_or_new(spark: SparkSession, d: str) -> DataFrame:
+    """The two halves of a plan, one after the other."""
+    found, new = jobs.found_and_new(requests(spark, d), job_table(spark, d), WANTED)
+    return found.select("granule", "job_id", F.lit(None).cast("string").alias("job_name")).unionByName(new.select("granule", F.lit(None).cast("long").alias("job_id"), "job_name"))
+
+
+@query("select count(*) as n_jobs, round(sum(cost), 2) as cost, 1000.0::double as credits from jobs", "jobs")
+def job_account(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.account(view(spark, d, "jobs"), 1000.0).withColumn("cost", F.round("cost", 2))
+
+
+@query(
+    """with p as (select unnest(['dem_name', 'resolution', 'radiometry', 'scale', 'speckle_filter', 'dem_matching', 'include_dem', 'include_inc_map', 'include_rgb', 'include_scattering_area']) as name,
+    unnest(['copernicus', '30', 'sigma0', 'power', 'true', 'false', 'false', 'false', 'false', 'false']) as value) select name, value, (select count(*) from customer) as n_requests from p"""
+)
+def job_default_parameters(spark: SparkSession, d: str) -> DataFrame:
+    """The settings that requests without any get, with the number of requests."""
+    asked = requests(spark, d).withColumn("params", jobs.default_parameters())
+    return asked.select(F.explode("params").alias("name", "value")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n_requests"))
+
+
+@query("select granule, min(member) as path from files where lower(member) like '%.tif' group by granule", "files")
+def first_raster_of_granule(spark: SparkSession, d: str) -> DataFrame:
+    """The first raster of each granule's files in the order of their names."""
+    return jobs.first_raster(view(spark, d, "files").select("granule", F.col("member").alias("path"), F.col("member").alias("ordinal")))
+
+
+@query("select distinct granule, concat('/out/', replace(replace(member, '.tif', ''), '.png', ''), '_processed.tif') as processed, concat('/prev/', replace(replace(member, '.tif', ''), '.png', ''), '_preview.png') as preview from files where member not like '%.xml'", "files")
+def output_paths(spark: SparkSession, d: str) -> DataFrame:
+    f = view(spark, d, "files").where(~F.col("member").endswith(".xml"))
+    return f.select("granule", previews.processed_path("/out", F.concat(F.lit("/in/"), "member"), "_processed").alias("processed"), previews.preview_path("/prev/", F.concat(F.lit("/in/"), "member")).alias("preview")).distinct()
+
+
+SOURCES = "(select concat('scene_', c_custkey, '.tif') as filename from customer where c_custkey % 3 <> 0)"
+
+
+def source_files(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return spark.read.parquet(f"{d}/customer.parquet").where(k % 3 != 0).select(F.concat(F.lit("/data/scene_"), k.cast("string"), F.lit(".tif")).alias("path"))
+
+
+@query(f"select ordinal, filename, confidence from detections where confidence >= 0.5 and filename in (select filename from {SOURCES})", "detections")
+def detections_with_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Confident detections whose raster is there, by base name."""
+    return previews.with_sources(boxes.confident(view(spark, d, "detections"), 0.5), source_files(spark, d)).select("ordinal", "filename", "confidence")
+
+
+@query(f"select filename, count(*) as n from detections where confidence >= 0.5 and filename not in (select filename from {SOURCES}) group by filename", "detections")
+def detections_without_sources(spark: SparkSession, d: str) -> DataFrame:
+    return previews.without_sources(boxes.confident(view(spark, d, "detections"), 0.5), source_files(spark, d))
+
+
+@query("select filename, count(*) as n from detections group by filename", "detections")
+def distinct_files(spark: SparkSession, d: str) -> DataFrame:
+    return previews.distinct_files(view(spark, d, "detections"))
+
+
+@query("select ordinal, filename, round(x0::float::double, 6) as x0, round(y0::float::double, 6) as y0, round(x1::float::double, 6) as x1, round(y1::float::double, 6) as y1, confidence from detections", "detections")
+def detection_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Boxes through the text of the detections' file (floats separated by blanks) and back."""
+    v = view(spark, d, "detections").withColumn("b", G.parse_box(G.box_text(F.array(*(F.col(c).cast("float") for c in boxes.BOX)))))
+    return v.select("ordinal", "filename", *(r6(F.col("b")[k].cast("float").cast("double")).alias(c) for k, c in enumerate(boxes.BOX)), "confidence")
 
 
 CHOSEN = "select granule, member, case when lower(member) like '%.tif' then concat(granule, regexp_extract(member, '(\\.[^.]*)$', 1)) else concat(granule, '_browse', regexp_extract(member, '(\\.[^.]*)$', 1)) end as new_name, case when member like '%.tif' then 'tif' else 'png' end as folder from files where lower(member) like '%\\_vv.tif' escape '\\' or (lower(member) like '%.png' and not contains(lower(member), 'rgb'))"
@@ -359,12 +473,18 @@ def preprocessed_score(spark: SparkSession, d: str) -> DataFrame:
     return jobs.preprocessed_score(meta).select("id", "score")
 
 
-LOGITS = "l as (select vec_id as id, [embedding[1]::double * 4, embedding[2]::double * 4, embedding[3]::double * 4] as z from embeddings), p as (select id, z, list_max(z) as top, list_sum(list_transform(z, lambda x: exp(x - list_max(z)))) as s from l), y as (select id, (list_position(z, top) - 1)::int as prediction, round(1 / s, 6) as confidence from p)"
+LOGITS = "l as (select vec_id as id, list_transform([0, 1, 2], lambda j: round(list_sum(list_transform(embedding, lambda x, i: x::double * (((i - 1) * 7 + j * 13) % 11 - 5) / 2)), 9)) as z from embeddings), p as (select id, z, list_max(z) as top, list_sum(list_transform(z, lambda x: exp(x - list_max(z)))) as s from l), y as (select id, (list_position(z, top) - 1)::int as prediction, round(1 / s, 6) as confidence from p)"
+
+
+def weight(k: int, j: int) -> float:
+    """A linear layer's weight of component k for class j."""
+    return ((k * 7 + j * 13) % 11 - 5) / 2
 
 
 def logits(spark: SparkSession, d: str) -> DataFrame:
-    e = F.col("embedding")
-    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.array(*(e[k].cast("double") * 4 for k in range(3))).alias("logits"))
+    layer = [F.array(*(F.lit(weight(k, j)) for k in range(64))) for j in range(3)]
+    z = [F.round(F.aggregate(F.zip_with("embedding", w, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x), 9) for w in layer]
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.array(*z).alias("logits"))
 
 
 @query(f"with {LOGITS} select * from y")
@@ -381,7 +501,7 @@ def positive_filter(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {LOGITS} select * from y")
 def linear_detector(spark: SparkSession, d: str) -> DataFrame:
     """The same scores from the detector plug-in."""
-    weights = [[4.0 if k == j else 0.0 for k in range(64)] for j in range(3)]
+    weights = [[weight(k, j) for k in range(64)] for j in range(3)]
     tiles = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("image"))
     return scoring.inferred(tiles, scoring.detector("linear", weights=weights)).select("id", "prediction", r6("confidence").alias("confidence"))
 
@@ -410,10 +530,19 @@ def land_bbox_mask(spark: SparkSession, d: str) -> DataFrame:
     return pixels.rectangles_masked(masked(spark, d), land).select("scene_id", "r", "c", "dn")
 
 
-@query()
+@query(
+    f"""with p as (select ordinal, filename, {SCENE["width"]} as width, {SCENE["height"]} as height, floor((x0 - {TRANSFORM[2]}::double) / {TRANSFORM[0]}::double + 0.1) as c, floor((y1 - {TRANSFORM[5]}::double) / {TRANSFORM[4]}::double + 0.1) as r,
+      floor((x1 - x0) / {TRANSFORM[0]}::double + 0.5) as w, floor((y0 - y1) / {TRANSFORM[4]}::double + 0.5) as h from detections),
+    k as (select *, greatest(0, c - 32) as c0, greatest(0, r - 32) as r0, least(width, greatest(0, c - 32) + w + 64) as c1, least(height, greatest(0, r - 32) + h + 64) as r1 from p),
+    e as (select *, case when c1 - c0 < 900 then least(width, greatest(0, c0 - floor((900 - (c1 - c0)) / 2)) + 900) else c1 end as ce, case when r1 - r0 < 900 then least(height, greatest(0, r0 - floor((900 - (r1 - r0)) / 2)) + 900) else r1 end as re from k where c1 > c0 and r1 > r0),
+    s as (select *, case when c1 - c0 < 900 then greatest(0, ce - 900) else c0 end as cs, case when r1 - r0 < 900 then greatest(0, re - 900) else r0 end as rs from e)
+    select ordinal, filename, cs::bigint as col_off, rs::bigint as row_off, (ce - cs)::bigint as win_w, (re - rs)::bigint as win_h from s""",
+    "detections",
+)
 def preview_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of 900 pixels at least, so that those at the right and lower edge move back."""
     boxes_in = view(spark, d, "detections").withColumn("width", F.lit(SCENE["width"])).withColumn("height", F.lit(SCENE["height"]))
-    return windows.preview_windows(boxes_in, TRANSFORM).select("ordinal", "filename", "col_off", "row_off", "win_w", "win_h")
+    return windows.preview_windows(boxes_in, TRANSFORM, 32, 900).select("ordinal", "filename", "col_off", "row_off", "win_w", "win_h")
 
 
 LAND = """land as (select n_nationkey % 7 + 1 as scene_id, n_nationkey, n_nationkey % 5 * 9.5::double as x, n_nationkey % 6 * 7.0::double as y from nation),
@@ -452,3 +581,60 @@ def triangles(spark: SparkSession, d: str) -> DataFrame:
 )
 def land_touched_mask(spark: SparkSession, d: str) -> DataFrame:
     return polygons.polygons_masked(masked(spark, d), triangles(spark, d), all_touched=True).select("scene_id", "r", "c", "dn")
+
+
+@query(
+    f"""with {MASKED}, {LAND},
+    a as (select scene_id, r, c, case when not exists (select 1 from hits h where h.scene_id = m.scene_id and h.r = m.r and h.c = m.c) then dn end as dn from m),
+    w as (select *, max((dn is null)::int) over (partition by scene_id, r order by c range between 1 preceding and 1 following) as across from a),
+    g as (select scene_id, r, c, case when max(across) over (partition by scene_id, c order by r range between 1 preceding and 1 following) = 0 then dn end as dn from w),
+    q as (select scene_id, min(dn)::double as lo, {_pct(95)} from g group by scene_id)
+    select scene_id, r, c, round(case when dn is not null then greatest(-35.0, 10 * log10(greatest(lo, least(dn::double, p)) + 1e-10)) end, 6) as dn from g join q using (scene_id)""",
+    "pixels",
+)
+def frame_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """Land mask, nodata grown by a pixel, percentile clip, decibels."""
+    config = {"clip_percentile": 95, "dilate_px": 1, "convert_to_db": True, "save_masked": True, "masked_dtype": "float32", "compress": "DEFLATE"}
+    return frames.preprocessed(masked(spark, d).select("scene_id", "r", "c", "dn"), config, triangles(spark, d)).select("scene_id", "r", "c", r6("dn").alias("dn"))
+
+
+@query(f"with {MASKED}, {LAND}, e as (select scene_id, r, c, case when not exists (select 1 from hits h where h.scene_id = m.scene_id and h.r = m.r and h.c = m.c) then dn end as dn from m) select scene_id, r, c, coalesce(dn::float, 0)::double as zeros, coalesce(dn::float, -9999)::double as sentinel from e", "pixels")
+def sink_values(spark: SparkSession, d: str) -> DataFrame:
+    """What files of floats hold: nodata as 0, and as -9999."""
+    sea = polygons.polygons_masked(masked(spark, d).select("scene_id", "r", "c", "dn"), triangles(spark, d))
+    both = frames.as_type(sea.withColumn("raw", F.col("dn")), "float32")
+    return both.select("scene_id", "r", "c", F.col("dn").cast("double").alias("zeros"), F.coalesce(F.col("raw").cast("float"), F.lit(-9999.0)).cast("double").alias("sentinel"))
+
+
+@query(
+    """with p as (select c_custkey as id, -120 + c_custkey % 6000 / 1000.0::double as lon, c_custkey % 17 * 4.5::double - 36 as lat from customer)
+    select id, round(lon, 6) as lon, round(lat, 6) as lat, true as same from p"""
+)
+def projection_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Longitude and latitude to UTM zone 11 and back."""
+    k = F.col("c_custkey")
+    p = spark.read.parquet(f"{d}/customer.parquet").select(k.alias("id"), (F.lit(-120.0) + k % 6000 / 1000.0).alias("lon"), (k % 17 * 4.5 - 36).alias("lat"))
+    epsg = F.when(F.col("lat") < 0, 32711).otherwise(32611)
+    x, y = land.from_lonlat(epsg, F.col("lon"), F.col("lat"))
+    lon, lat = land.to_lonlat(epsg, F.col("x"), F.col("y"))
+    back = p.withColumn("x", x).withColumn("y", y).withColumn("lon1", lon).withColumn("lat1", lat)
+    return back.select("id", r6("lon").alias("lon"), r6("lat").alias("lat"), ((F.abs(F.col("lon") - F.col("lon1")) < 1e-8) & (F.abs(F.col("lat") - F.col("lat1")) < 1e-8)).alias("same"))
+
+
+@query(
+    f"""with s as (select *, {TRANSFORM[2]}::double as lon0, {TRANSFORM[5]}::double - {TRANSFORM[0]}::double * height as lat0, {TRANSFORM[2]}::double + {TRANSFORM[0]}::double * width as lon1, {TRANSFORM[5]}::double as lat1 from scenes),
+    l as (select n_nationkey as polygon, -119.0 + n_nationkey * 0.08::double as x0, 33.3 + n_nationkey % 7 * 0.12::double as y0, -118.85 + n_nationkey * 0.08::double as x1, 33.4 + n_nationkey % 7 * 0.12::double as y1 from nation)
+    select s.scene_id, l.polygon::int as polygon, round(greatest(x0, lon0), 6) as x0, round(greatest(y0, lat0), 6) as y0, round(least(x1, lon1), 6) as x1, round(least(y1, lat1), 6) as y1
+    from s join l on l.x0 < s.lon1 and s.lon0 < l.x1 and l.y0 < s.lat1 and s.lat0 < l.y1""",
+    "scenes",
+)
+def land_clipped_to_scenes(spark: SparkSession, d: str) -> DataFrame:
+    """The bounds of each polygon's part within each scene."""
+    k = F.col("n_nationkey")
+    x0, y0, x1, y1 = F.lit(-119.0) + k * 0.08, F.lit(33.3) + k % 7 * 0.12, F.lit(-118.85) + k * 0.08, F.lit(33.4) + k % 7 * 0.12
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    rings = spark.read.parquet(f"{d}/nation.parquet").select(k.alias("polygon"), F.lit(0).alias("ring"), F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1)).alias("points"))
+    scenes = view(spark, d, "scenes").withColumn("transform", F.array(*map(F.lit, TRANSFORM))).withColumn("epsg", F.lit(4326))
+    cut = land.clipped(rings, land.footprints(scenes))
+    bound = lambda f, a: r6(f(F.transform("points", lambda p: p[a])))
+    return cut.select("scene_id", "polygon", bound(F.array_min, "x").alias("x0"), bound(F.array_min, "y").alias("y0"), bound(F.array_max, "x").alias("x1"), bound(F.array_max, "y").alias("y1"))
