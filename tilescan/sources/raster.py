@@ -74,7 +74,7 @@ def profiles(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
                         raise
                     row["error"] = str(failure)
                 out.append(row)
-            yield pd.DataFrame(out, columns=[f.split()[0] for f in PROFILE.split(", ")])
+            yield pd.DataFrame({c: pd.Series([row.get(c) for row in out], dtype=object) for c in (f.split()[0] for f in PROFILE.split(", "))})
 
     ship(spark)
     return files.rasters(spark, path).select("path").mapInPandas(walk, PROFILE)
