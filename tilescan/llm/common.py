@@ -1,15 +1,17 @@
-"""What the operators of this package share: the shared folder, cut lineage, code shipping, words."""
+"""What the operators of this package share: the shared folder, cut lineage, texts of batches."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
-import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tilescan.functions.workers import ship
+
+__all__ = ["as_bytes", "cut", "shared_dir", "ship", "table", "texts"]
 
 _own_dir: list[str] = []
 
@@ -19,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="tilescan-"))
@@ -34,23 +36,6 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, once a context."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tilescan_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    out = os.path.join(tempfile.mkdtemp(prefix="tilescan-code-"), "tilescan.zip")
-    with zipfile.ZipFile(out, "w") as z:
-        for folder, _, names in os.walk(top):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.join("tilescan", os.path.relpath(full, top)))
-    sc.addPyFile(out)
-    sc._tilescan_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,9 +47,3 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 def as_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
-
-
-def sized(df: DataFrame, column: str) -> tuple[int, int]:
-    """Rows, and bytes of a string column."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("b")).first()
-    return row["n"], row["b"]

@@ -8,12 +8,12 @@ with fewer than k distinct shingles is held whole, and all figures are exact the
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z in lower case; a shingle is five words, or all of them if there are fewer.
 
 ``edited`` pairs each document with its edited text: the last floor(n/2) code points give way to the first as many (or
-all) of the next document in descending doc_id, the first one following the last.  The texts are dealt out once, in
-compressed runs, to ranges of doc_id; the one document that a range needs from the next goes to both.
+all) of the next document in descending doc_id, the first one following the last.  The texts are dealt out once, to ranges of
+doc_id; the one document that a range needs from the next goes to both; a task goes through its sorted rows one by one.
 
 Defined results: a null text is an empty one; an empty text has an empty sketch, alike to another empty one (1.0) and to
-no other text (0.0); a null doc_id comes after all others (in descending order); rows that share a doc_id are in order of
-their texts; a single row is its own next; other columns are ignored; an empty table gives an empty result.
+no other text (0.0); a null doc_id comes after all others (in descending order); rows that share a doc_id are in
+descending order of a hash of their texts and may fill several ranges; a single row is its own next; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,16 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilescan.llm.common import as_bytes, ship, sized
+from tilescan.llm.common import as_bytes, ship
+from tilescan.llm.ranges import LEAST, Ranges, keyed, ranges_of
 
 K = 128
 WORDS = 5
 FULL = float(1 << 64)
-LEAST = -(1 << 63)
 
 
 def shingle_hashes(text: bytes, words: int, known: dict[bytes, int]) -> np.ndarray:
@@ -85,7 +84,8 @@ def resemblance(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
     both = np.sort(np.r_[a, b])
     twice = both[1:] == both[:-1]
     least = np.r_[both[:-1][~twice], both[-1:]] if not twice.all() else both[-1:]
-    least = least[:k]
+    if len(a) >= k or len(b) >= k:  # else both are whole, and so is their union
+        least = least[:k]
     shared = both[:-1][twice]
     return float((shared <= least[-1]).sum()) / len(least)
 
@@ -123,106 +123,78 @@ def edited(docs: DataFrame, k: int = K, words: int = WORDS, bytes_per_range: int
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each row of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    _, total = sized(rows, "text")
-    n = max(1, -(-total // bytes_per_range))
-    # ascending bounds, at most one a range; range p has the ids from bounds[p - 1] on and below bounds[p]
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("c")).first()["c"] if n > 1 else []
-    bounds = sorted(set(cuts or []))
-    where = F.lit(0)
-    if bounds:
-        where = F.expr("int(aggregate(array({}), 0, (n, b) -> n + if(doc_id >= b, 1, 0)))".format(",".join(f"{b}L" for b in bounds))) if len(bounds) <= 64 else None
-    tops = _tops(rows, where, bounds)
-    above: dict[int, int] = {}  # id of a range's first row (its largest) to the range above
+    rows = keyed(docs)
+    ranges = ranges_of(rows, F.octet_length("text"), bytes_per_range)
+    tops = _tops(rows, ranges)  # by range its first key in descending order, at most one a range
     order = sorted(tops)
-    for low, high in zip(order, order[1:]):
-        above[tops[low]] = high
-    if order:
-        above.setdefault(tops[order[-1]], order[0])  # the first follows the last
-    bound_array = np.array(bounds, np.int64)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+    # the first row of a range also goes to the range before it in descending order; the first of all to the last range
+    goes = dict(zip(order, order[1:] + order[:1]))
+    top_id, top_tie = (np.array([tops.get(p, (0, 0))[i] for p in range(ranges.count)], np.int64) for i in (0, 1))
+    other = np.array([goes.get(p, -1) for p in range(ranges.count)], np.int32)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, data = batch.column("doc_id").to_numpy(), as_bytes(batch)
-            part = np.searchsorted(bound_array, ids, "right")
-            runs = {}
-            for r, p in enumerate(part.tolist()):
-                runs.setdefault((p, False), []).append(r)
-                halo = above.get(int(ids[r]))
-                if halo is not None:
-                    runs.setdefault((halo, True), []).append(r)
-            for (p, halo), at in runs.items():
-                lengths = np.array([len(data[r]) for r in at], np.int64)
-                blob = squeeze.compress(b"".join(data[r] for r in at))
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([halo]), pa.array([ids[at].tobytes()], pa.binary()), pa.array([lengths.tobytes()], pa.binary()), pa.array([blob], pa.binary())], names=["p", "halo", "ids", "lengths", "blob"])
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
+            part = ranges.place(ids, ties).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(ids), bool)), *batch.columns], names=["p", "halo", "doc_id", "tie", "text"])
+            first = np.flatnonzero((ids == top_id[part]) & (ties == top_tie[part]))
+            if len(first):
+                copies = batch.take(pa.array(first))
+                yield pa.RecordBatch.from_arrays([pa.array(other[part[first]]), pa.array(np.ones(len(first), bool)), *copies.columns], names=["p", "halo", "doc_id", "tie", "text"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        held: list[tuple[bool, bytes, bytes, bytes]] = []
-        now = None
+        now, held, mine = None, None, None  # the range, the row whose next one is awaited, its sketch
+        out: list[list] = [[] for _ in range(7)]
         for batch in batches:
-            for p, *rest in zip(*(batch.column(c).to_pylist() for c in ("p", "halo", "ids", "lengths", "blob"))):
-                if held and p != now:
-                    yield from _compare(held, known, k, words)
-                    held = []
-                now = p
-                held.append(tuple(rest))
-        if held:
-            yield from _compare(held, known, k, words)
-
-    packed = rows.mapInArrow(pack, "p int, halo boolean, ids binary, lengths binary, blob binary")
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return packed.repartition(max(1, len(bounds) + 1), "p").sortWithinPartitions("p").mapInArrow(unpack, schema)
-
-
-def _tops(rows: DataFrame, where, bounds: list[int]) -> dict[int, int]:
-    """The largest doc_id of each range that has rows: one number a range."""
-    if where is None:  # many ranges: search the bounds in numpy
-        array = np.array(bounds, np.int64)
-
-        def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best: dict[int, int] = {}
-            for batch in batches:
-                ids = batch.column("doc_id").to_numpy()
-                part = np.searchsorted(array, ids, "right")
-                for p in np.unique(part).tolist():
-                    best[p] = max(best.get(p, LEAST), int(ids[part == p].max()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array(list(best.values()), pa.int64())], names=["p", "top"])
-
-        found = rows.select("doc_id").mapInArrow(tops, "p int, top long").groupBy("p").agg(F.max("top").alias("top"))
-    else:
-        found = rows.groupBy(where.alias("p")).agg(F.max("doc_id").alias("top"))
-    return {r["p"]: r["top"] for r in found.collect()}
-
-
-def _compare(held: list[tuple[bool, bytes, bytes, bytes]], known: dict[bytes, int], k: int, words: int) -> Iterator[pa.RecordBatch]:
-    """The rows of one range, with what follows its last one."""
-    expand = zstandard.ZstdDecompressor()
-    own, halo = [], []
-    for is_halo, ids, lengths, blob in held:
-        ends = np.cumsum(np.frombuffer(lengths, np.int64))
-        data = expand.decompress(blob, max_output_size=int(ends[-1]) + 1) if ends[-1] else b""
-        for doc_id, a, b in zip(np.frombuffer(ids, np.int64).tolist(), np.r_[0, ends[:-1]].tolist(), ends.tolist()):
-            (halo if is_halo else own).append((doc_id, data[a:b]))
-    own.sort(key=lambda x: (-x[0], x[1]))
-    own.append(min(halo, key=lambda x: (-x[0], x[1])))
-    out: list[list] = [[] for _ in range(7)]
-    after = None
-    for (doc_id, data), (_, following) in zip(own, own[1:]):
-        text = data.decode("utf-8", "surrogatepass")
-        n = len(text)
-        new = (text[: n - n // 2] + following[: 4 * (n // 2)].decode("utf-8", "ignore")[: n // 2]).encode("utf-8", "surrogatepass")
-        a = sketch(shingle_hashes(data, words, known), k) if after is None else after
-        b = sketch(shingle_hashes(new, words, known), k)
-        after = sketch(shingle_hashes(following, words, known), k)
-        for column, value in zip(out, (None if doc_id == LEAST else doc_id, n, hashlib.sha256(new).hexdigest(), to_text(a), to_text(b), resemblance(a, b, k), resemblance(a, after, k))):
-            column.append(value)
-        if len(out[0]) == 2000:
+            for p, halo, doc_id, data in zip(batch.column("p").to_pylist(), batch.column("halo").to_pylist(), batch.column("doc_id").to_pylist(), as_bytes(batch)):
+                if p != now:
+                    now, held = p, None
+                if held is not None:
+                    following = sketch(shingle_hashes(data, words, known), k)
+                    _pair(out, held[0], held[1], data, mine, following, known, k, words)
+                    mine = following
+                elif not halo:
+                    mine = sketch(shingle_hashes(data, words, known), k)
+                held = None if halo else (doc_id, data)
+                if len(out[0]) == 2000:
+                    yield _batch(out)
+                    out = [[] for _ in range(7)]
+        if out[0]:
             yield _batch(out)
-            out = [[] for _ in range(7)]
-    if out[0]:
-        yield _batch(out)
+
+    dealt = rows.mapInArrow(deal, "p int, halo boolean, doc_id long, tie long, text string").repartitionById(ranges.count, "p")
+    ordered = dealt.sortWithinPartitions("p", "halo", F.desc("doc_id"), F.desc("tie"), F.desc("text"))
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return ordered.mapInArrow(walk, schema)
+
+
+def _tops(rows: DataFrame, ranges: Ranges) -> dict[int, tuple[int, int]]:
+    """The largest key of each range that has rows: one a range."""
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[int, int]] = {}
+        for batch in batches:
+            ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
+            part = ranges.place(ids, ties)
+            order = np.lexsort((ties, ids, part))
+            last = order[np.flatnonzero(np.r_[part[order][1:] != part[order][:-1], True])] if len(order) else order
+            for p, i, t in zip(part[last].tolist(), ids[last].tolist(), ties[last].tolist()):
+                best[p] = max(best.get(p, (LEAST, LEAST)), (i, t))
+        yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array([x[0] for x in best.values()], pa.int64()), pa.array([x[1] for x in best.values()], pa.int64())], names=["p", "i", "t"])
+
+    found = rows.select("doc_id", "tie").mapInArrow(tops, "p int, i long, t long").groupBy("p").agg(F.max(F.struct("i", "t")).alias("top"))
+    return {r["p"]: (r["top"]["i"], r["top"]["t"]) for r in found.collect()}
+
+
+def _pair(out: list[list], doc_id: int, data: bytes, following: bytes, a: np.ndarray, after: np.ndarray, known: dict[bytes, int], k: int, words: int) -> None:
+    """Adds a document's row, given the text that follows it and both sketches."""
+    text = data.decode("utf-8", "surrogatepass")
+    n = len(text)
+    new = (text[: n - n // 2] + following[: 4 * (n // 2)].decode("utf-8", "ignore")[: n // 2]).encode("utf-8", "surrogatepass")
+    b = sketch(shingle_hashes(new, words, known), k)
+    for column, value in zip(out, (None if doc_id == LEAST else doc_id, n, hashlib.sha256(new).hexdigest(), to_text(a), to_text(b), resemblance(a, b, k), resemblance(a, after, k))):
+        column.append(value)
 
 
 def _batch(columns: list[list]) -> pa.RecordBatch:

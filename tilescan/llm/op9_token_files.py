@@ -3,18 +3,20 @@
 ``write`` encodes documents and writes, for each range of doc_id, ``tokens-NNNNNN.bin`` (the ids of its documents in
 ascending doc_id, flat little-endian unsigned integers of 16 bits if the vocabulary allows, else 32),
 ``docs-NNNNNN.bin`` (their doc_ids, int64) and ``offsets-NNNNNN.bin`` (uint64: the global start of each document, and the
-end of the last).  A range's base is the sum of the tokens of all ranges before it.  ``manifest.json`` has the bases.
-``read`` maps the files into memory.
+end of the last).  A range's base is the sum of the tokens of all ranges before it.  The table ``parts`` (Parquet, a row a
+range) has the bases, ``manifest.json`` the kind of integer and the totals.  ``read`` maps the files into memory.
 
-Documents are encoded before they are dealt out, so what is shuffled is compressed ids and not texts.  Files are written
-under another name and renamed, so a task that runs again leaves the same files.
+Documents are encoded before they are dealt out, so what is shuffled is ids and not texts.  The task of a range gets them
+sorted and writes them as they come, whatever the range's size.  Files are written under another name and renamed, so a
+task that runs again leaves the same files.
 
-Ids come from the ``tokenizers`` library.  Its tokenizers that drop white space encode what stands between two spaces or
-line ends on its own; each such piece is encoded by the library once and remembered (a bounded number of them).
+Ids come from the ``tokenizers`` library.  Where a tokenizer takes each stretch between white space by itself (which
+``by_words`` checks), each stretch is encoded by the library once and remembered (a bounded number of
+them); texts of any other tokenizer are encoded whole.
 
 Defined results: a null text is an empty one and has the end id only; a null doc_id comes first (and is stored as the
-least int64); rows that share a doc_id are in order of their ids; other columns are ignored; no rows, no files but the
-manifest.
+least int64); rows that share a doc_id are in the order of a hash of their texts, and may fill several ranges; other
+columns are ignored; no rows, no files but the manifest and an empty table.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import struct
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,37 +33,96 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tilescan.llm.common import cut, shared_dir, ship, sized, texts
+from tilescan.llm.common import cut, shared_dir, ship, texts
 from tilescan.llm.op4_bpe import Memory
-
-LEAST = -(1 << 63)
+from tilescan.llm.ranges import LEAST, keyed, ranges_of
+
+MEMORY = 250_000
+# fixed values: white space to Python's split and not to the tokenizers library; splitters of the library at white space
+NOT_SPACE = re.compile("[\x1c-\x1f]")
+SPACE = re.compile("[\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+SPLITTERS = frozenset(["Whitespace", "WhitespaceSplit", "BertPreTokenizer"])
+KEEPERS = frozenset(["NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"])
+PROBES = ("a", "Z9", "é", "'s", "don't", "7", ".", "(x)", "!?", "ß,", "中", "\u0301b", "_", "--", "🙂")
+
+
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    """The steps of a sequence within sequences."""
+    if not part:
+        return []
+    return [x for p in part.get(inner) or [] for x in _steps(p, inner)] if part.get("type") == "Sequence" else [part]
+
+
+def by_words(definition: dict, tokenizer) -> bool:
+    """Whether a tokenizer takes each stretch between white space by itself.  Its definition must normalise character by
+    character or to single blanks, split at white space or keep only what its pattern matches, and have no added token that
+    reaches over white space; and pairs of probes on either side of white space must have the ids of both."""
+    blank = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    if not all(x.get("type") in KEEPERS or x == blank for x in _steps(definition.get("normalizer"), "normalizers")):
+        return False
+    first = (_steps(definition.get("pre_tokenizer"), "pretokenizers") or [{}])[0]
+    if first.get("type") not in SPLITTERS and not (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")):
+        return False
+    if definition.get("truncation") or definition.get("padding"):
+        return False
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or SPACE.search(t.get("content", "")) for t in definition.get("added_tokens") or []):
+        return False
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    alone = {x: ids(x) for x in PROBES}
+    return all(ids(x + w + y) == alone[x] + alone[y] for x in PROBES for y in PROBES for w in (" ", "\n", " \t\r\n", "\xa0"))
 
 
 class WordEncoder:
-    """A tokenizer of the library, with the ids of pieces that it has met, as the bytes that files hold."""
+    """A tokenizer of the library; ``encode_all`` gives the ids of texts as the bytes that files hold."""
 
     def __init__(self, data: bytes, kind: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_buffer(data)
-        self.memory = Memory(250_000)
-        self.code = "H" if kind == "<u2" else "I"
+        self.tokenizer, self.kind = Tokenizer.from_buffer(data), kind
+        definition = json.loads(data)
+        self.words = by_words(definition, self.tokenizer)
+        self.memory = Memory(MEMORY)
+        suffix = (definition.get("model") or {}).get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+
+    def _encoded(self, whole: list[str]) -> Iterator[np.ndarray]:
+        for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False):
+            yield np.array(e.ids, self.kind)
+
+    def _learn(self, new: list[str]) -> None:
+        """Words of letters are encoded many at once: each is one stretch of letters to the tokenizer, and its ids end with the
+        only one that may end a word.  Were a word taken as several, the number of ends would tell."""
+        size, now = np.dtype(self.kind).itemsize, self.memory.now
+        words = [p for p in new if p.isalpha()] if self.ends.any() else []
+        for k in range(0, len(words), 100_000):
+            groups = [words[j : j + 500] for j in range(k, min(len(words), k + 100_000), 500)]
+            for group, ids in zip(groups, self._encoded([" ".join(g) for g in groups])):
+                at = np.flatnonzero(self.ends[ids]) + 1
+                if len(at) == len(group) and at[-1] == len(ids):
+                    raw, edge = ids.tobytes(), (np.r_[0, at] * size).tolist()
+                    now.update(zip(group, (raw[a:b] for a, b in zip(edge, edge[1:]))))
+        rest = [p for p in new if p not in now]
+        for k in range(0, len(rest), 10_000):
+            now.update(zip(rest[k : k + 10_000], (ids.tobytes() for ids in self._encoded(rest[k : k + 10_000]))))
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        if not self.words:
+            for k in range(0, len(texts), 100):
+                for ids in self._encoded(texts[k : k + 100]):
+                    yield ids.tobytes()
+            return
         self.memory.turn()
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        new = sorted(self.memory.unknown(set(chain.from_iterable(split))))
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            found = (e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))
-            self.memory.now.update(zip(part, (struct.pack(f"<{len(ids)}{self.code}", *ids) for ids in found)))
-        known = self.memory.now.__getitem__
+        split = [SPACE.split(text) if NOT_SPACE.search(text) else text.split() for text in texts]
+        self._learn(sorted(self.memory.unknown(set(chain.from_iterable(split)))))
+        look, join = self.memory.now.__getitem__, b"".join
         for pieces in split:
-            yield b"".join(map(known, pieces))
+            yield join(map(look, pieces))
 
 
 _encoders: dict[bytes, WordEncoder] = {}
@@ -118,78 +179,73 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | N
     size, end = np.dtype(kind).itemsize, b"" if end_id is None else int(end_id).to_bytes(np.dtype(kind).itemsize, "little")
     fs, top = _store(folder)
     fs.create_dir(top, recursive=True)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    count, total = sized(rows, "text")
-    n = max(1, -(-total // bytes_per_file))
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("c")).first()["c"] if n > 1 and count else []
-    bounds = np.array(sorted(set(cuts or [])), np.int64)
+    rows = keyed(docs)
+    ranges = ranges_of(rows, F.octet_length("text"), bytes_per_file)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, squeeze = word_encoder(data.value, kind), zstandard.ZstdCompressor(level=1)
+        encoder = word_encoder(data.value, kind)
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 batch = whole.slice(k, 1000)
-                ids = [x + end for x in encoder.encode_all(texts(batch))]
-                doc_ids = batch.column("doc_id").to_numpy()
-                part = np.searchsorted(bounds, doc_ids, "right")
-                for p in np.unique(part).tolist():
-                    at = np.flatnonzero(part == p)
-                    lengths = np.array([len(ids[r]) // size for r in at], np.int64)
-                    blob = squeeze.compress(b"".join(ids[r] for r in at))
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([doc_ids[at].tobytes()], pa.binary()), pa.array([lengths.tobytes()], pa.binary()), pa.array([blob], pa.binary())], names=["p", "ids", "lengths", "blob"])
-
-    def store(p: int, held: list[tuple[bytes, bytes, bytes]]) -> tuple[int, int, int]:
-        expand = zstandard.ZstdDecompressor()
-        items = []
-        for doc_ids, lengths, blob in held:
-            sizes = np.frombuffer(lengths, np.int64)
-            raw = expand.decompress(blob, max_output_size=int(sizes.sum()) * size + 1) if sizes.sum() else b""
-            ends = np.cumsum(sizes) * size
-            items += [(d, raw[e - s * size : e]) for d, s, e in zip(np.frombuffer(doc_ids, np.int64).tolist(), sizes.tolist(), ends.tolist())]
-        items.sort()
-        sizes = np.array([len(x) // size for _, x in items], np.int64)
-        _put(folder, f"tokens-{p:06d}.bin", b"".join(x for _, x in items))
-        _put(folder, f"docs-{p:06d}.bin", np.array([d for d, _ in items], "<i8").tobytes())
-        _put(folder, f"sizes-{p:06d}.bin", sizes.astype("<u8").tobytes())
-        return p, len(items), int(sizes.sum())
+                ids = pa.array([x + end for x in encoder.encode_all(texts(batch))], pa.binary())
+                part = ranges.place(batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), batch.column("doc_id"), batch.column("tie"), ids], names=["p", "doc_id", "tie", "ids"])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now, out = [], None, []
-        for batch in batches:
-            for p, *rest in zip(*(batch.column(c).to_pylist() for c in ("p", "ids", "lengths", "blob"))):
-                if held and p != now:
-                    out.append(store(now, held))
-                    held = []
-                now = p
-                held.append(tuple(rest))
-        if held:
-            out.append(store(now, held))
+        now, doc_ids, sizes, out = -1, [], [], []
+        stream = other = None
+
+        def done() -> None:
+            stream.close()
+            fs.move(other, f"{top}/tokens-{now:06d}.bin")
+            lengths = np.concatenate(sizes)
+            _put(folder, f"docs-{now:06d}.bin", np.concatenate(doc_ids).astype("<i8").tobytes())
+            _put(folder, f"sizes-{now:06d}.bin", lengths.astype("<u8").tobytes())
+            out.append((now, len(lengths), int(lengths.sum())))
+
+        for whole in batches:
+            parts = whole.column("p").to_numpy()
+            edge = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1], True]) if len(parts) else []
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                batch = whole.slice(int(a), int(b - a))
+                if stream is None or int(parts[a]) != now:
+                    if stream is not None:
+                        done()
+                    now, doc_ids, sizes = int(parts[a]), [], []
+                    other = f"{top}/.tokens-{uuid.uuid4().hex}"
+                    stream = fs.open_output_stream(other)
+                column = batch.column("ids")
+                for value in column:
+                    stream.write(value.as_buffer())
+                doc_ids.append(batch.column("doc_id").to_numpy())
+                sizes.append(pa.compute.binary_length(column).to_numpy().astype(np.int64) // size)
+        if stream is not None:
+            done()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["p", "n_docs", "n_tokens"])
 
-    dealt = rows.mapInArrow(encode, "p int, ids binary, lengths binary, blob binary").repartition(len(bounds) + 1, "p").sortWithinPartitions("p")
-    parts = cut(dealt.mapInArrow(keep, "p long, n_docs long, n_tokens long")).orderBy("p").collect()  # one row a file
-    base, listed = 0, []
-    for r in parts:
-        listed.append({"part": r["p"], "n_docs": r["n_docs"], "n_tokens": r["n_tokens"], "base": base})
-        base += r["n_tokens"]
-    if listed:
-
-        def offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for p, start in zip(batch.column("part").to_pylist(), batch.column("base").to_pylist()):
-                    sizes = _get(folder, f"sizes-{p:06d}.bin", "<u8")
-                    _put(folder, f"offsets-{p:06d}.bin", (np.r_[np.uint64(0), np.cumsum(sizes, dtype=np.uint64)] + np.uint64(start)).astype("<u8").tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column("part")], names=["part"])
-
-        _parts(spark, listed).mapInArrow(offsets, "part long").count()
-    manifest = {"dtype": kind, "n_tokens": base, "end_id": end_id, "parts": listed}
+    dealt = rows.mapInArrow(encode, "p int, doc_id long, tie long, ids binary").repartitionById(ranges.count, "p").sortWithinPartitions("p", "doc_id", "tie", "ids")
+    parts = cut(dealt.mapInArrow(keep, "p long, n_docs long, n_tokens long"))  # a row a range
+    before = F.coalesce(F.sum("n_tokens").over(W.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts.select(F.col("p").alias("part"), "n_docs", "n_tokens", before.cast("long").alias("base")).write.mode("overwrite").parquet(f"{folder}/parts")
+
+    def offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p, start in zip(batch.column("part").to_pylist(), batch.column("base").to_pylist()):
+                sizes = _get(folder, f"sizes-{p:06d}.bin", "<u8")
+                _put(folder, f"offsets-{p:06d}.bin", (np.r_[np.uint64(0), np.cumsum(sizes, dtype=np.uint64)] + np.uint64(start)).astype("<u8").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("part")], names=["part"])
+
+    total = parts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t")).first()
+    if total["n"]:
+        _parts(spark, folder, total["n"]).mapInArrow(offsets, "part long").count()
+    manifest = {"dtype": kind, "n_tokens": total["t"], "end_id": end_id, "n_parts": total["n"]}
     _put(folder, "manifest.json", json.dumps(manifest).encode())
     return manifest
 
 
-def _parts(spark: SparkSession, listed: list[dict]) -> DataFrame:
-    rows = spark.createDataFrame([(x["part"], x["base"]) for x in listed], "part long, base long")
-    return rows.repartition(len(listed))
+def _parts(spark: SparkSession, folder: str, n: int) -> DataFrame:
+    rows = spark.read.schema("part long, n_docs long, n_tokens long, base long").parquet(f"{folder}/parts").select("part", "base")
+    return rows.withColumn("k", (F.row_number().over(W.orderBy("part")) - 1).cast("int")).repartitionById(n, "k").drop("k")
 
 
 def load_manifest(folder: str) -> dict:
@@ -203,7 +259,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     manifest = load_manifest(folder)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    if not manifest["parts"]:
+    if not manifest["n_parts"]:
         return spark.createDataFrame([], schema)
     kind = manifest["dtype"]
 
@@ -217,7 +273,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     crc = [zlib.crc32(tokens[a:b].astype("<u4").tobytes()) for a, b in zip(at[:-1], at[1:])]
                     yield pa.RecordBatch.from_arrays([pa.array(part, mask=part == LEAST), pa.array(starts[k : k + len(part)]), pa.array(np.diff(at)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return _parts(spark, manifest["parts"]).mapInArrow(walk, schema)
+    return _parts(spark, folder, manifest["n_parts"]).mapInArrow(walk, schema)
 
 
 def written_and_read(docs: DataFrame, folder: str | None = None) -> DataFrame:
