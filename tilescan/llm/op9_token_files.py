@@ -28,7 +28,8 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ from tilescan.llm.common import cut, shared_dir, ship, texts
 from tilescan.llm.op4_bpe import Memory
 from tilescan.llm.ranges import LEAST, keyed, ranges_of
 
-MEMORY = 250_000
+MEMORY = 300_000
+MARKS = ".,;:!?%$#|"
 # fixed values: white space to Python's split and not to the tokenizers library; splitters of the library at white space
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = re.compile("[\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -76,6 +78,24 @@ def by_words(definition: dict, tokenizer) -> bool:
     return all(ids(x + w + y) == alone[x] + alone[y] for x in PROBES for y in PROBES for w in (" ", "\n", " \t\r\n", "\xa0"))
 
 
+def missing(memory: Memory, keys: set[str]) -> set[str]:
+    """What of ``keys`` has no value yet; the others are among the latest afterwards."""
+    out = keys.difference(memory.now)
+    again = out.intersection(memory.before)
+    memory.now.update(zip(again, map(memory.before.__getitem__, again)))
+    return out - again
+
+
+def parts_at_marks(definition: dict, tokenizer) -> bool:
+    """Whether letters and the MARKS after them are taken by themselves."""
+    first = (_steps(definition.get("pre_tokenizer"), "pretokenizers") or [{}])[0]
+    if first.get("type") not in ("Whitespace", "BertPreTokenizer", "Split"):
+        return False
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    tails = [*MARKS, *(x + y for x in MARKS for y in MARKS), MARKS]
+    return all(ids(x + t) == ids(x) + ids(t) for x in ("a", "the", "Zürich", "中") for t in tails)
+
+
 class WordEncoder:
     """A tokenizer of the library; ``encode_all`` gives the ids of texts as the bytes that files hold."""
 
@@ -85,7 +105,9 @@ class WordEncoder:
         self.tokenizer, self.kind = Tokenizer.from_buffer(data), kind
         definition = json.loads(data)
         self.words = by_words(definition, self.tokenizer)
-        self.memory = Memory(MEMORY)
+        self.memory, self.letters = Memory(MEMORY), Memory(MEMORY)
+        self.splits = self.words and parts_at_marks(definition, self.tokenizer)
+        self.lowers = any(x.get("type") == "Lowercase" for x in _steps(definition.get("normalizer"), "normalizers"))
         suffix = (definition.get("model") or {}).get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -96,20 +118,39 @@ class WordEncoder:
             yield np.array(e.ids, self.kind)
 
     def _learn(self, new: list[str]) -> None:
-        """Words of letters are encoded many at once: each is one stretch of letters to the tokenizer, and its ids end with the
-        only one that may end a word.  Were a word taken as several, the number of ends would tell."""
-        size, now = np.dtype(self.kind).itemsize, self.memory.now
-        words = [p for p in new if p.isalpha()] if self.ends.any() else []
+        """Adds the ids of stretches.  One of letters and then marks is its letters' ids and its marks'; letters are looked up in
+        lower case if the tokenizer lowers them, and are known from other stretches more often than not."""
+        now = self.memory.now
+        if self.splits:
+            heads = [p.rstrip(MARKS) for p in new]
+            whole = [h.isalpha() for h in heads]
+            new, rest, heads = list(compress(new, whole)), [p for p, w in zip(new, whole) if not w], list(compress(heads, whole))
+            marks = [p[len(h) :] for p, h in zip(new, heads)]
+            if self.lowers:
+                heads = [h.lower() if h.isascii() else h for h in heads]
+            self._encode_letters(list(missing(self.letters, set(heads))))
+            found = self.letters.now
+            tails = list(missing(self.letters, set(marks)))
+            found.update(zip(tails, (ids.tobytes() for ids in self._encoded(tails))))
+            look = found.__getitem__
+            now.update(zip(new, map(add, map(look, heads), map(look, marks))))
+            new = rest
+        for k in range(0, len(new), 10_000):
+            now.update(zip(new[k : k + 10_000], (ids.tobytes() for ids in self._encoded(new[k : k + 10_000]))))
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Words of letters, many at once: the ids of each end with the only one that may end a stretch.  Were one taken as several,
+        there would be more ends, and the group is encoded word by word."""
+        size, now = np.dtype(self.kind).itemsize, self.letters.now
         for k in range(0, len(words), 100_000):
-            groups = [words[j : j + 500] for j in range(k, min(len(words), k + 100_000), 500)]
+            groups = [words[j : j + 500] for j in range(k, min(len(words), k + 100_000), 500)] if self.ends.any() else []
             for group, ids in zip(groups, self._encoded([" ".join(g) for g in groups])):
                 at = np.flatnonzero(self.ends[ids]) + 1
                 if len(at) == len(group) and at[-1] == len(ids):
                     raw, edge = ids.tobytes(), (np.r_[0, at] * size).tolist()
                     now.update(zip(group, (raw[a:b] for a, b in zip(edge, edge[1:]))))
-        rest = [p for p in new if p not in now]
-        for k in range(0, len(rest), 10_000):
-            now.update(zip(rest[k : k + 10_000], (ids.tobytes() for ids in self._encoded(rest[k : k + 10_000]))))
+        rest = [w for w in words if w not in now]
+        now.update(zip(rest, (ids.tobytes() for ids in self._encoded(rest))))
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         if not self.words:
@@ -118,8 +159,9 @@ class WordEncoder:
                     yield ids.tobytes()
             return
         self.memory.turn()
+        self.letters.turn()
         split = [SPACE.split(text) if NOT_SPACE.search(text) else text.split() for text in texts]
-        self._learn(sorted(self.memory.unknown(set(chain.from_iterable(split)))))
+        self._learn(list(missing(self.memory, set(chain.from_iterable(split)))))
         look, join = self.memory.now.__getitem__, b"".join
         for pieces in split:
             yield join(map(look, pieces))
@@ -185,8 +227,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | N
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(data.value, kind)
         for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                batch = whole.slice(k, 1000)
+            for k in range(0, whole.num_rows, 2500):
+                batch = whole.slice(k, 2500)
                 ids = pa.array([x + end for x in encoder.encode_all(texts(batch))], pa.binary())
                 part = ranges.place(batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), batch.column("doc_id"), batch.column("tie"), ids], names=["p", "doc_id", "tie", "ids"])
@@ -215,8 +257,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | N
                     other = f"{top}/.tokens-{uuid.uuid4().hex}"
                     stream = fs.open_output_stream(other)
                 column = batch.column("ids")
-                for value in column:
-                    stream.write(value.as_buffer())
+                for k in range(len(column)):
+                    stream.write(column[k].as_buffer())
                 doc_ids.append(batch.column("doc_id").to_numpy())
                 sizes.append(pa.compute.binary_length(column).to_numpy().astype(np.int64) // size)
         if stream is not None:
