@@ -15,7 +15,7 @@ doc_id; all texts are read and scored whole.
 
 Defined results: a null text is an empty one and gets the score of a text without any feature; without training rows of
 both classes every score is 0.0; a null doc_id is not held out and teaches nothing; rows that share a doc_id keep their rows;
-other columns are ignored; an empty table gives an empty result.
+other columns are ignored; an empty table gives an empty result; training rows of equal text and label teach once.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def word_counts(text: str) -> tuple[dict[str, int], float, float]:
     return counts, float(n > 0 and text.upper() == text), float(n > 0 and 10 * text.count("!") > n)
 
 
-def votes_of(x: np.ndarray, odds: np.ndarray, max_voters: int = 60) -> np.ndarray:
+def votes_of(x: np.ndarray, odds: np.ndarray, max_voters: int | None = 60) -> np.ndarray:
     """Votes (1 toxic, 0 clean, -1 none) of the voters, from feature rows."""
     n = len(odds)
     best = np.argsort(-odds, kind="stable")[:max_voters]
@@ -163,8 +163,12 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, rounds: int = 3
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8000, max_terms: int = 400) -> Model:
-    """The model from the labelled training rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8000, max_terms: int | None = 400, max_voters: int | None = 60) -> Model:
+    """The model from the labelled training rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
+
+    ``max_terms`` bounds the lexicon and ``max_voters`` the terms that vote by themselves (all of them count as hits); None
+    takes every term that passes the tests of frequency and odds.
+    """
     spark = docs.sparkSession
     ship(spark)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(~held_out())
@@ -175,16 +179,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8000, max_terms: in
         for batch in batches:
             rows = [word_counts(x) for x in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([list(r[0]) for r in rows], pa.list_(pa.string())), pa.array([list(r[0].values()) for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.float64())],
-                names=["doc_id", "toxic", "words", "counts", "shout", "exclaim"],
+                [batch.column("doc_id"), batch.column("toxic"), batch.column("copy"), pa.array([list(r[0]) for r in rows], pa.list_(pa.string())), pa.array([list(r[0].values()) for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.float64())],
+                names=["doc_id", "toxic", "copy", "words", "counts", "shout", "exclaim"],
             )
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
-    counted = cut(picked.mapInArrow(count, "doc_id long, toxic int, words array<string>, counts array<int>, shout double, exclaim double"))
-    # copies of a document teach once: they share the least hashes of their longer words
-    least = F.slice(F.array_sort(F.transform(F.filter("words", lambda w: F.length(w) >= 6), lambda w: F.xxhash64(w))), 1, 2)
-    copy = F.when(F.size(least) == 2, F.concat_ws(",", F.transform(least, lambda h: h.cast("string")))).otherwise(F.concat(F.lit("own"), F.col("doc_id").cast("string")))
-    counted = cut(counted.withColumn("copy", copy).groupBy("toxic", "copy").agg(F.min_by(F.struct(*counted.columns), "doc_id").alias("r")).select("r.*"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # equal texts of one label teach once; unlike ones are never taken for copies
+    picked = rows.join(F.broadcast(sample), "doc_id").withColumn("copy", F.sha2("text", 256)).groupBy("toxic", "copy").agg(F.min_by(F.struct("doc_id", "text"), "doc_id").alias("r")).select("r.doc_id", "toxic", "copy", "r.text")
+    counted = cut(picked.mapInArrow(count, "doc_id long, toxic int, copy string, words array<string>, counts array<int>, shout double, exclaim double"))
     size = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     n, t = size["n"], size["t"] or 0
     if not t or t == n:
@@ -199,8 +201,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8000, max_terms: in
         .where(f"a >= {max(4, t // 60)}")
         .withColumn("odds", F.log((F.col("a") + 0.5) / (t + 1.0)) - F.log((F.col("b") + 0.5) / (n - t + 1.0)))
         .where("odds >= 2")
-        .orderBy(F.desc(F.col("odds") * F.sqrt("a")), "term").limit(max_terms).collect()
+        .orderBy(F.desc(F.col("odds") * F.sqrt("a")), "term")
     )
+    # what is frequent in a bounded sample is bounded, with and without the limit
+    odds = (odds if max_terms is None else odds.limit(max_terms)).collect()
     if not odds:
         return Model()
     model = Model([r["term"] for r in odds], [float(r["odds"]) for r in odds])
@@ -215,14 +219,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8000, max_terms: in
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(float)
     truth = np.array([r["toxic"] for r in rows], float)
     start = np.where(truth == 1, 0.9, 0.1)
-    post, rate, model.correlations = label_model(votes_of(x, np.array(model.odds)), start)
+    post, rate, model.correlations = label_model(votes_of(x, np.array(model.odds), max_voters), start)
     model.accuracies = rate
     model.weights, model.bias = logistic(x, post)
     return model
 
 
-def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, model: Model | None = None, keep: bool = False, **bounds: int) -> DataFrame:
-    """doc_id, held_out, score, predicted of each row of ``docs``; with ``keep`` all its columns and ``predicted``."""
+def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, model: Model | None = None, keep: bool = False, **bounds: int | None) -> DataFrame:
+    """doc_id, held_out, score, predicted of each row of ``docs``; with ``keep`` all its columns and, as the
+    last one, the prediction."""
     spark = docs.sparkSession
     ship(spark)
     weights = spark.sparkContext.broadcast(model or fit(docs, labels, **bounds))
@@ -232,13 +237,15 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, model: Mo
         return pa.array([own.score(x or "") for x in text.to_pylist()], pa.float64())
 
     if keep:
+        taken = {c.lower() for c in docs.columns}
+        mark = next(f"predicted_{k}" for k in range(len(taken) + 1) if f"predicted_{k}" not in taken)  # a name that ``docs`` does not have
 
         def walk_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield pa.RecordBatch.from_arrays([*batch.columns, score(batch.column("text"))], names=[*batch.schema.names, "__score"])
+                found = score(batch.column("text").cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([int(x >= threshold) for x in found.to_pylist()], pa.int32())], names=[*batch.schema.names, mark])
 
-        schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
-        return docs.mapInArrow(walk_all, schema).withColumn("__predicted", (F.col("__score") >= threshold).cast("int"))
+        return docs.mapInArrow(walk_all, T.StructType([*docs.schema.fields, T.StructField(mark, T.IntegerType())]))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,4 +257,5 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, model: Mo
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` with a score below ``threshold``."""
-    return scored(docs, labels, threshold, keep=True).where("__predicted = 0").select(*docs.columns)
+    rows = scored(docs, labels, threshold, keep=True)
+    return rows.where(F.col(rows.columns[-1]) == 0).drop(rows.columns[-1])
