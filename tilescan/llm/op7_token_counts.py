@@ -1,7 +1,8 @@
 """Token counts of sections by offset-mapped attribution.
 
 A document is encoded once and whole; each token has a character span (from the character that holds its first byte to
-the one that holds its last).  Sections are spans too, here lines with the line feed that ends them.  Both run in text
+the one that holds its last).  Sections are spans too: lines with the line feed that ends them, or the fields of a record
+(columns, joined by a separator that belongs to the field before it).  Both run in text
 order, so the interval join is a binary search of token spans among section bounds.  A token over a bound is allocated by
 rule:
 
@@ -97,3 +98,35 @@ def section_tokens(docs: DataFrame, path: str | None = None, pattern: str | None
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         walk, "doc_id long, n_tokens long, n_sections long, n_crossing long, largest_section double, section_tokens array<double>"
     )
+
+
+def field_tokens(docs: DataFrame, fields: list[str], separator: str = "\n", path: str | None = None, pattern: str | None = None, rule: str = "majority") -> DataFrame:
+    """doc_id, n_tokens, n_crossing and ``tokens`` (field to tokens) of each row of ``docs``: its ``fields`` joined by
+    ``separator`` and encoded once; a null field is an empty one and may have none."""
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}")
+    spark = docs.sparkSession
+    ship(spark)
+    if path is None or pattern is None:
+        path, pattern = path or default_vocabulary()[0], pattern or default_vocabulary()[1]
+    with open(path, "rb") as f:
+        data = spark.sparkContext.broadcast(f.read())
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(data.value, pattern)
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                batch = whole.slice(k, 1000)
+                parts = list(zip(*(texts(batch, f"field_{i}") for i in range(len(fields)))))
+                joined = [separator.join(p) for p in parts]
+                rows = []
+                for part, text, ids in zip(parts, joined, encoder.encode_all(joined)):
+                    lengths = [len(x) + len(separator) for x in part]
+                    lengths[-1] -= len(separator)
+                    counts, crossing = attribute(*token_spans(encoder, ids, text), np.r_[0, np.cumsum(lengths)], rule)
+                    rows.append((len(ids), crossing, list(zip(fields, counts.tolist()))))
+                n, crossing, counts = zip(*rows) if rows else ((),) * 3
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crossing, pa.int64()), pa.array(list(counts), pa.map_(pa.string(), pa.float64()))], names=["doc_id", "n_tokens", "n_crossing", "tokens"])
+
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(f"field_{i}") for i, c in enumerate(fields)))
+    return named.mapInArrow(walk, "doc_id long, n_tokens long, n_crossing long, tokens map<string,double>")
