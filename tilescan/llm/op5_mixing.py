@@ -13,7 +13,7 @@ leading bits of their place in the order, and only those of the one bit pattern
 with a third of all documents is spread over all tasks.  Cuts are joined to documents by leaf.
 
 Defined results: a null in a level is a child of its own; a null or empty text has no tokens and is taken if its place comes
-before the cut; a null doc_id has its own place; rows that share a doc_id are taken together; weights of 0 get nothing,
+before the cut, or its leaf has no tokens at all; a null doc_id has its own place; rows that share a doc_id are taken together; weights of 0 get nothing,
 values without a weight have ``default_weight``; an empty table gives an empty result; other columns stay as they are.
 """
 
@@ -43,7 +43,17 @@ def domain_of(source: Column) -> Column:
 
 def _place(seed: int, epoch: Column) -> Column:
     """The place of a document in an epoch's order: 62 bits, a pure function of seed, epoch and doc_id."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), epoch.cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long"))), 2)
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), epoch.cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), F.col("doc_id").isNull()), 2)
+
+
+def fair_total(totals: DataFrame, weights: dict[str, dict[str, float]], max_epochs: int) -> float:
+    """The largest total of which the values with given weights can have their shares, from all that the corpus holds of them."""
+    out = float(totals.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]) * max_epochs
+    for level, given in weights.items():
+        held = {r[0]: r[1] for r in totals.where(F.col(level).isin(list(given))).groupBy(level).agg(F.sum("tokens")).collect()}  # as many as weights
+        share = {v: w for v, w in given.items() if w > 0 and held.get(v)}
+        out = min([out, *(held[v] * max_epochs * sum(share.values()) / w for v, w in share.items())])
+    return out
 
 
 def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, float]], total: float | Column, default_weight: float = 1.0) -> DataFrame:
@@ -80,14 +90,14 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, f
     return leaves.join(up, [leaves[c].eqNullSafe(up[f"up_{c}"]) for c in levels]).drop(*(f"up_{c}" for c in levels))
 
 
-def cuts(narrow: DataFrame, levels: list[str], weights: dict[str, dict[str, float]], fraction: float, max_epochs: int, seed: int, default_weight: float = 1.0) -> DataFrame:
+def cuts(narrow: DataFrame, levels: list[str], weights: dict[str, dict[str, float]], fraction: float | None, max_epochs: int, seed: int, default_weight: float = 1.0) -> DataFrame:
     """By leaf: ``epochs`` taken whole, and the ``last_place`` taken of one more (-1: none), of ``narrow`` (doc_id, levels, tokens).
 
     Documents of one place (rows that share a doc_id, or a null one) are taken or left together.
     """
     totals = cut(narrow.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), (F.sum("tokens") * max_epochs).alias("capacity")))
     whole = totals.agg(F.sum("tokens")).first()[0] or 0
-    given = budgets(totals, levels, weights, fraction * whole, default_weight)
+    given = budgets(totals, levels, weights, fair_total(totals, weights, max_epochs) if fraction is None else fraction * whole, default_weight)
     # a billionth of a token of slack for what rounding takes
     leaf = cut(
         given.withColumn("epochs", F.when(F.col("tokens") > 0, F.floor((F.col("budget") + 1e-6) / F.col("tokens"))).otherwise(0).cast("long"))
@@ -105,8 +115,8 @@ def cuts(narrow: DataFrame, levels: list[str], weights: dict[str, dict[str, floa
     return leaf.join(edge, "leaf", "left").join(within, "leaf", "left").select(
         *levels,
         "epochs",
-        # all of the edge's bucket before its last place; without an edge the budget covers the epoch, which then is counted whole
-        F.when(F.col("bucket").isNull(), F.when(F.col("room") > 0, F.lit((1 << 62) - 1)).otherwise(F.lit(-1)))
+        # all of the edge's bucket before its last place; only a leaf without tokens has no edge, and all of it fits
+        F.when(F.col("bucket").isNull(), F.lit((1 << 62) - 1))
         .otherwise(F.coalesce("last", F.shiftleft(F.col("bucket"), 62 - BUCKET_BITS) - 1))
         .alias("last_place"),
         "budget",
@@ -114,9 +124,12 @@ def cuts(narrow: DataFrame, levels: list[str], weights: dict[str, dict[str, floa
     )
 
 
-def mixed(docs: DataFrame, fraction: float = 1.0, max_epochs: int = 2, seed: int = 17, weights: dict[str, dict[str, float]] | None = None, max_leaves: int = 50_000, prefix: str = "") -> DataFrame:
-    """``docs`` with ``domain``, ``n_words`` (tokens, here words), ``n_copies`` (how often a row is taken) and the leaf's
-    ``budget``, their names after ``prefix``; columns of ``docs`` with these names are replaced.
+def mixed(docs: DataFrame, fraction: float | None = 1.0, max_epochs: int = 2, seed: int = 17, weights: dict[str, dict[str, float]] | None = None, max_leaves: int = 50_000, prefix: str = "", tokens: str | None = None) -> DataFrame:
+    """``docs`` with ``domain``, ``n_words`` (the tokens that budgets count), ``n_copies`` (how often a row is taken) and the
+    leaf's ``budget``, their names after ``prefix``; columns of ``docs`` with these names are replaced.
+
+    Tokens are those between white space, or what the column ``tokens`` says (null: none), as of a tokenizer.  The budget is
+    ``fraction`` of all tokens; None: the largest one of which every value with a given weight can have its share.
 
     The leaves' cuts are broadcast if there are at most ``max_leaves`` (counted first), and joined by shuffle otherwise.
     """
@@ -124,20 +137,20 @@ def mixed(docs: DataFrame, fraction: float = 1.0, max_epochs: int = 2, seed: int
     weights = {f"{prefix}domain" if k == "domain" else k: v for k, v in weights.items()}
     domain, words = f"{prefix}domain", f"{prefix}n_words"
     levels = [domain, "lang", "source"]
-    named = docs.withColumn(domain, domain_of(F.col("source"))).withColumn(words, word_count(F.col("text").cast("string")))
+    named = docs.withColumn(domain, domain_of(F.col("source"))).withColumn(words, word_count(F.col("text").cast("string")) if tokens is None else F.coalesce(F.col(tokens).cast("long"), F.lit(0).cast("long")))
     narrow = cut(named.select(F.col("doc_id").cast("long").alias("doc_id"), *levels, F.col(words).alias("tokens")))
     found = cut(cuts(narrow, levels, weights, fraction, max_epochs, seed))
     side = found.select(*(F.col(c).alias(f"__cut_{c}") for c in levels), F.col("epochs").alias("__cut_epochs"), F.col("last_place").alias("__cut_last"), F.col("budget").alias("__cut_budget"))
     if found.count() <= max_leaves:
         side = F.broadcast(side)
     joined = named.join(side, [F.col(c).eqNullSafe(F.col(f"__cut_{c}")) for c in levels])
-    copies = F.col("__cut_epochs") + (_place(seed, F.col("__cut_epochs")) <= F.col("__cut_last")).cast("long")
+    copies = F.least(F.lit(max_epochs).cast("long"), F.col("__cut_epochs") + (_place(seed, F.col("__cut_epochs")) <= F.col("__cut_last")).cast("long"))
     return joined.withColumn(f"{prefix}n_copies", copies).withColumn(f"{prefix}budget", F.col("__cut_budget")).drop(*(f"__cut_{c}" for c in [*levels, "epochs", "last", "budget"]))
 
 
-def selected(docs: DataFrame, fraction: float = 0.6, max_epochs: int = 1, seed: int = 17, weights: dict[str, dict[str, float]] | None = None) -> DataFrame:
+def selected(docs: DataFrame, fraction: float | None = None, max_epochs: int = 1, seed: int = 17, weights: dict[str, dict[str, float]] | None = None, tokens: str | None = None) -> DataFrame:
     """The rows of ``docs`` in the mixture, as often as they are taken, with the columns of ``docs``."""
-    rows = mixed(docs, fraction, max_epochs, seed, weights, prefix="__").where("__n_copies > 0")
+    rows = mixed(docs, fraction, max_epochs, seed, weights, prefix="__", tokens=tokens).where("__n_copies > 0")
     if max_epochs > 1:
         rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n_copies"))))
     return rows.select(*docs.columns)
