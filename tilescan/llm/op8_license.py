@@ -195,7 +195,8 @@ def judged(template: list[str], text: list[str], pairs: list[tuple[int, int]], l
     lacking = set(range(len(template))) - {i for i, _ in pairs}
     m = len(pairs)
     coverage = m / (len(template) + len(put_in))
-    if any(map(telling, put_in)) or NEGATIONS & set(put_in) or NEGATIONS & set(text[max(0, a - 2) : a]):
+    denied = NEGATIONS & set(text[max(0, a - 2) : a]) or len(template) < long and NEGATIONS & set(put_in)
+    if denied or any(map(telling, put_in)):
         return None
     whole = coverage >= least and not any(telling(template[i]) for i in lacking)
     # a part of a long text: what it lacks may lie before and after, but a telling word must not have another in its place
