@@ -638,3 +638,12 @@ def land_clipped_to_scenes(spark: SparkSession, d: str) -> DataFrame:
     cut = land.clipped(rings, land.footprints(scenes))
     bound = lambda f, a: r6(f(F.transform("points", lambda p: p[a])))
     return cut.select("scene_id", "polygon", bound(F.array_min, "x").alias("x0"), bound(F.array_min, "y").alias("y0"), bound(F.array_max, "x").alias("x1"), bound(F.array_max, "y").alias("y1"))
+
+
+@query(f"with {MASKED}, g as (select s.scene_id, a.v::int as r, b.v::int as c from (select distinct scene_id from m) s, (select unnest(range({SIDE})) as v) a, (select unnest(range({SIDE})) as v) b) select scene_id, r, c, dn::float::double as dn from g left join m using (scene_id, r, c)", "pixels")
+def tiff_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Pixels as blocks, as compressed files, and read back; what is absent or nodata is null."""
+    px = masked(spark, d)
+    scenes = px.select("scene_id").distinct().withColumn("width", F.lit(SIDE)).withColumn("height", F.lit(SIDE))
+    back = raster.through_files(raster.from_pixels(px, scenes, SIDE), side=SIDE)
+    return raster.pixels(back, SIDE).select("scene_id", "r", "c", F.col("dn").cast("double").alias("dn"))

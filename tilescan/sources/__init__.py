@@ -1 +1,3 @@
+"""Sources and sinks."""
 
+__all__ = ["files", "fixtures", "raster", "remote", "tiff"]

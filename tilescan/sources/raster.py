@@ -6,6 +6,7 @@ and only the blocks that a window touches.  Inside the engine nodata is null.  A
 
 from __future__ import annotations
 
+import io
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -279,6 +280,24 @@ def write(blocked: DataFrame, scenes: DataFrame, folder: str, dtype: str = "floa
     return ordered.mapInPandas(put, "scene_id string, path string, n_bytes long")
 
 
+def through_files(blocked: DataFrame, compress: str = "DEFLATE", nodata: float = 0.0, side: int = BLOCK) -> DataFrame:
+    """``blocked`` as it comes back from files: each block is encoded as a file of its own and read again, in memory."""
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            back = []
+            for h, w, data in zip(frame["h"], frame["w"], frame["data"]):
+                x = np.array(data, float).reshape(h, w)
+                p = tiff.Profile(int(w), int(h), "<f4", side, side, compress=compress, predictor=2 if compress != "NONE" else 1, nodata=nodata)
+                part = tiff.encoded(np.where(np.isnan(x), nodata, x), p)
+                f = io.BytesIO(tiff.head(p, [len(part)]) + part)
+                back.append(_listed(_pixels(f, tiff.profile(f), nodata, 0, 0, int(h), int(w))))
+            yield frame.assign(data=back)
+
+    ship(blocked.sparkSession)
+    return blocked.mapInPandas(walk, blocked.schema)
+
+
 def numbered(windows: DataFrame) -> DataFrame:
     """Windows of all scenes in the order of scene and place, with their number ``n`` and name; scenes are numbered from
     counts by scene, so no task sorts all windows."""
