@@ -5,7 +5,7 @@ A detection is (filename, confidence, x0, y0, x1, y1, ordinal).  Order among equ
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from math import cos, radians
 
 import numpy as np
@@ -57,23 +57,42 @@ def survivors(boxes: np.ndarray, threshold: float) -> np.ndarray:
     return np.array(kept, int)
 
 
+def runs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[tuple[int, int]]]]:
+    """Rows sorted by filename and part, with the (start, end) of each part that is whole."""
+    held: pd.DataFrame | None = None
+    for frame in frames:
+        rows = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        if not len(rows):
+            continue
+        name, part = rows["filename"].to_numpy(), rows["part"].to_numpy()
+        edge = np.flatnonzero(np.r_[True, (name[1:] != name[:-1]) | (part[1:] != part[:-1])]).tolist()
+        if len(edge) > 1:
+            yield rows, list(zip(edge, edge[1:]))
+        held = rows.iloc[edge[-1] :].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held, [(0, len(held))]
+
+
 def suppressed(detections: DataFrame, threshold: float) -> DataFrame:
     """Greedy suppression: a box stays unless its overlap with a better box that stays exceeds ``threshold``.  Rows without
     filename, box or confidence are dropped.  The result has ``rank``, the place among the scene's boxes that stay.
 
-    A task gathers the boxes of one part of a scene, whose number the raster's windows bound, and compares in numpy.
+    A task goes through sorted parts of scenes in numpy; it holds one part, whose boxes the raster's windows bound, and a batch.
     """
     if threshold < 0:
         raise ValueError("the threshold must not be negative")
     ship(detections.sparkSession)
     columns = ["filename", "confidence", "ordinal", *BOX]
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["confidence", "ordinal"], ascending=False, kind="stable")
-        return rows.iloc[survivors(rows[list(BOX)].to_numpy(float), threshold)][columns]
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, spans in runs(frames):
+            box = rows[list(BOX)].to_numpy(float)
+            kept = [np.array([a]) if b - a == 1 else a + survivors(box[a:b], threshold) for a, b in spans]
+            yield rows.iloc[np.concatenate(kept)][columns]
 
     clean = detections.dropna(subset=["filename", "confidence", *BOX]).where(~F.isnan("confidence"))
-    kept = parted(clean.select(*columns)).groupBy("filename", "part").applyInPandas(one, "filename string, confidence double, ordinal long, x0 double, y0 double, x1 double, y1 double")
+    dealt = parted(clean.select(*columns)).repartition("filename", "part").sortWithinPartitions("filename", "part", F.desc("confidence"), F.desc("ordinal"))
+    kept = dealt.mapInPandas(walk, "filename string, confidence double, ordinal long, x0 double, y0 double, x1 double, y1 double")
     rank = F.row_number().over(W.partitionBy("filename").orderBy(F.desc("confidence"), F.desc("ordinal"))) - 1
     return kept.select("filename", rank.cast("long").alias("rank"), "confidence", "ordinal", *BOX)
 
@@ -108,6 +127,8 @@ class Shape:
         self.lat = sum(s * (r[1] + r[3]) / 2 for s, r in zip(sizes, rects)) / self.area if self.area else (self.y0 + self.y1) / 2
 
     def overlap(self, other: Shape) -> float:
+        if self.x1 <= other.x0 or other.x1 <= self.x0 or self.y1 <= other.y0 or other.y1 <= self.y0:
+            return 0.0  # shrunk shapes stay within their bounds
         scale = cos(radians((self.lat + other.lat) / 2))
         a, b = (self.x0 + self.x1) / 2, (other.x0 + other.x1) / 2
         shared = 0.0
@@ -158,15 +179,20 @@ def unite(shapes: list[Shape], threshold: float) -> list[Shape]:
 
 def united(detections: DataFrame, threshold: float) -> DataFrame:
     """Envelopes and mean confidences of merged boxes (filename, ordinal, confidence, n_members, box); ``ordinal`` is the rank
-    of the first member.  A task gathers one part of a scene."""
+    of the first member.  A task goes through sorted parts of scenes."""
     ship(detections.sparkSession)
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("rank")
-        done = unite([Shape([box], [c], r) for box, c, r in zip(rows[list(BOX)].itertuples(index=False, name=None), rows["confidence"], rows["rank"])], threshold)
-        return pd.DataFrame([(pdf["filename"].iloc[0], s.first, sum(s.confidences) / len(s.confidences), len(s.confidences), s.x0, s.y0, s.x1, s.y1) for s in done], columns=["filename", "ordinal", "confidence", "n_members", *BOX])
-
-    return parted(detections).groupBy("filename", "part").applyInPandas(one, "filename string, ordinal long, confidence double, n_members long, x0 double, y0 double, x1 double, y1 double")
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, spans in runs(frames):
+            box, confidence, rank, name = list(zip(*(rows[c].tolist() for c in BOX))), rows["confidence"].tolist(), rows["rank"].tolist(), rows["filename"].tolist()
+            out = []
+            for a, b in spans:
+                done = unite([Shape([box[k]], [confidence[k]], rank[k]) for k in range(a, b)], threshold)
+                out += [(name[a], s.first, sum(s.confidences) / len(s.confidences), len(s.confidences), s.x0, s.y0, s.x1, s.y1) for s in done]
+            yield pd.DataFrame(out, columns=["filename", "ordinal", "confidence", "n_members", *BOX])
+
+    dealt = parted(detections).repartition("filename", "part").sortWithinPartitions("filename", "part", "rank")
+    return dealt.mapInPandas(walk, "filename string, ordinal long, confidence double, n_members long, x0 double, y0 double, x1 double, y1 double")
 
 
 def merged(detections: DataFrame, nms: float = 0.05, merge: float = 0.3, post: float = 0.1) -> DataFrame:
