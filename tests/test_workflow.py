@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot im
 def test_compose():
     c = C.compose(["mode=inference_only", "paths.output_dir=/x", "inference.batch_size=7", "inference.dataset_params.stride_factor=0.5", "hyp3.granules=[a, b]", "inference=features", "debug=true"])
     assert c.mode == "inference_only" and c.inference.batch_size == 7 and c.hyp3.granules == ["a", "b"] and c.debug is True
-    assert c.inference.num_channels == 3 and c.inference.identification_table_path == "output/features/positive_eddy_identifications.csv"
+    assert c.inference.num_channels == 3 and c.inference.identification_table_path == "output/features/positive_identifications.csv"
     assert c.inference.dataset_params.geotiff_dir == c.paths.processed_dir == c.preprocessing.processed_dir and c.inference.dataset_params.stride_factor == 0.5
     for bad in (["mode=other"], ["inference=none"], ["debug"]):
         with pytest.raises(ValueError):

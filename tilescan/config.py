@@ -30,7 +30,7 @@ GROUPS: dict[str, dict[str, dict[str, Any]]] = {
             "method": "inference", "num_channels": 1, "detector_class_name": "linear", "output_dir": "${paths.output_dir}", "geotiff_dir": "${paths.processed_dir}",
             "dataset_params": {"dataset_class_name": "tiles", "geotiff_dir": "${inference.geotiff_dir}", "window_size": 700, "stride_factor": 0.25, "nodata_threshold": 0.7, "var_threshold": None},
             "model_loader_class": "arrays", "arch": "r50_1x_sk0", "num_classes": 2, "pretrain": None, "nodata_value": 0,
-            "identification_table_path": "${inference.output_dir}/positive_eddy_identifications.csv", "positive_class_index": 1,
+            "identification_table_path": "${inference.output_dir}/positive_identifications.csv", "positive_class_index": 1,
             "bbox_merging": {"nms_iou_threshold": 0.05, "merge_iou_threshold": 0.3, "post_nms_iou_threshold": 0.1},
             "prefilter": {"enabled": False, "store_results": False, "pass_classes": [2], "model": {"arch": "r50_1x_sk0", "num_classes": 10, "pretrain": None}},
             "device": "cpu", "workers": 2, "batch_size": 128,
